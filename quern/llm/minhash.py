@@ -254,7 +254,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deduplicated(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
     """The pipeline's stage: of each group the document with the least id stays;
     of repeated rows of it, one.  Rows with a null id stay."""
-    found = near_duplicates(docs, config)
-    stay = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    ids = docs.join(stay, docs.doc_id == stay.kept_id, "left_semi").dropDuplicates(["doc_id"])
-    return ids.unionByName(docs.where("doc_id IS NULL"))
+    kept = near_duplicates(docs, config).where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
+    kept = materialize(kept, "kept")
+    n_kept, repeated = kept.agg(F.count("*"), F.count_if(F.col("n") > 1)).first()
+    ids = small(kept.where("n = 1").select("kept_id"), n_kept, config.broadcast_ids)
+    out = docs.join(ids, docs.doc_id == ids.kept_id, "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    if repeated:
+        ids = small(kept.where("n > 1").select("kept_id"), repeated, config.broadcast_ids)
+        out = out.unionByName(docs.join(ids, docs.doc_id == ids.kept_id, "left_semi").dropDuplicates(["doc_id"]))
+    return out

@@ -152,7 +152,15 @@ def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFra
 
     Rows that share an id and a source are one document with all their copies.
     """
-    copies = mix(docs, config).groupBy(F.col("doc_id").alias("i"), F.col("source").alias("s")).agg(F.sum("copies").alias("copies")).where("copies > 0")
-    one = docs.dropDuplicates(["doc_id", "source"])
-    met = one.join(copies, F.col("doc_id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s")))
-    return met.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    copies = mix(docs, config).groupBy(F.col("doc_id").alias("__i"), F.col("source").alias("__s"))
+    copies = materialize(copies.agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n")).where("__copies > 0"), "copies")
+    n, repeated = copies.agg(F.count("*"), F.count_if(F.col("__n") > 1)).first()
+
+    def taken(rows: DataFrame, which: DataFrame) -> DataFrame:
+        met = rows.join(small(which, n, 1_000_000), F.col("doc_id").eqNullSafe(F.col("__i")) & F.col("source").eqNullSafe(F.col("__s")))
+        return met.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
+
+    out = taken(docs, copies.where("__n = 1"))
+    if repeated:
+        out = out.unionByName(taken(docs.dropDuplicates(["doc_id", "source"]), copies.where("__n > 1")))
+    return out
