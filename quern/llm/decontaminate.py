@@ -260,4 +260,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, config: LeakConfig =
     ids = materialize(bad.select(F.col("doc_id").alias("bad_id")).distinct(), "leaks")
     n = ids.count()
     ids = F.broadcast(ids) if n <= 4_000_000 else ids
-    return docs.join(ids, docs.doc_id.eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["bad_id"]), "left_anti")

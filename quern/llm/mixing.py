@@ -152,15 +152,16 @@ def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFra
 
     Rows that share an id and a source are one document with all their copies.
     """
-    copies = mix(docs, config).groupBy(F.col("doc_id").alias("__i"), F.col("source").alias("__s"))
-    copies = materialize(copies.agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n")).where("__copies > 0"), "copies")
-    n, repeated = copies.agg(F.count("*"), F.count_if(F.col("__n") > 1)).first()
+    copies = mix(docs, config).groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    copies = materialize(copies, "copies")
+    n, repeated = copies.agg(F.count("*"), F.count_if(F.col("rows") > 1)).first()
 
     def taken(rows: DataFrame, which: DataFrame) -> DataFrame:
-        met = rows.join(small(which, n, 1_000_000), F.col("doc_id").eqNullSafe(F.col("__i")) & F.col("source").eqNullSafe(F.col("__s")))
-        return met.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
+        rows = rows.select(F.struct(*docs.columns).alias("row"))  # its columns may have any names
+        met = F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")) & F.col("row")["source"].eqNullSafe(F.col("source"))
+        return rows.join(small(which, n, 1_000_000), met).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
-    out = taken(docs, copies.where("__n = 1"))
+    out = taken(docs, copies.where("rows = 1"))
     if repeated:
-        out = out.unionByName(taken(docs.dropDuplicates(["doc_id", "source"]), copies.where("__n > 1")))
+        out = out.unionByName(taken(docs.dropDuplicates(["doc_id", "source"]), copies.where("rows > 1")))
     return out

@@ -127,10 +127,12 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityCon
     """Fits on at most ``sample_rows`` labelled documents; None if a class is missing."""
     usable = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("good"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.sample_rows)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "labelled")), F.col("doc_id") == F.col("labelled"))  # at most sample_rows rows
-    found = rows.select("doc_id", F.col("good").cast("int").alias("good"), text.alias("text")).mapInArrow(_features(config), "doc_id long, good int, idx binary, val binary").toPandas()
-    found = found.sort_values(["doc_id", "val"]).drop_duplicates("doc_id").reset_index(drop=True)
+    chosen = chosen.withColumnRenamed("doc_id", "labelled")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))  # at most sample_rows rows
+    rows = rows.groupBy("doc_id").agg(F.min(F.col("good").cast("int")).alias("good"), F.min("text").alias("text"))
+    found = rows.mapInArrow(_features(config), "doc_id long, good int, idx binary, val binary").toPandas()
+    found = found.sort_values("doc_id").reset_index(drop=True)
     if found.good.nunique() < 2 or len(found) < 20:
         return None
     idx = [np.frombuffer(x, np.int32) for x in found.idx]

@@ -13,48 +13,77 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.store import table
+from quern.llm.store import materialize, small, table
 
 
 @dataclass(frozen=True)
 class ShardConfig:
     shards: int = 40
     seed: int = 11
-    bucket_bytes: int = 16 << 20  # of records, taken into memory at once by pass 2
+    bucket_bytes: int = 32 << 20  # of records, taken into memory at once by pass 2
     record_bytes: int = 16  # counted for a record besides its text
 
 
+def _spread(staged: DataFrame, filled: DataFrame, buckets: int, config: ShardConfig) -> tuple[DataFrame, int] | None:
+    """``staged`` with the rows of overfull buckets dealt over more of them; None if none is.
+
+    Only rows that are equal in id and text, or a text larger than a bucket, overfill
+    one.  Which row of it goes where hangs on places in the input, so the result is
+    written once.
+    """
+    over = filled.where(F.col("bytes") > 4 * config.bucket_bytes).withColumn("parts", F.ceil(F.col("bytes") / config.bucket_bytes))
+    n, more = over.agg(F.count("*"), F.sum("parts")).first()
+    if not n:
+        return None
+    base = F.lit(buckets) + F.sum("parts").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("parts")
+    over = over.select(F.col("b").alias("over"), base.alias("base"), "parts")
+    dealt = staged.withColumn("place", F.monotonically_increasing_id()).join(small(over, n, 1_000_000), F.col("bucket") == F.col("over"), "left")
+    part = F.pmod(F.xxhash64(F.lit(config.seed), "place"), F.col("parts"))
+    return materialize(dealt.select(F.coalesce(F.col("base") + part, "bucket").alias("bucket"), "bytes", "record"), "spread"), buckets + more
+
+
+def _fill(staged: DataFrame) -> DataFrame:
+    return materialize(staged.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "filled")
+
+
 def shards(docs: DataFrame, config: ShardConfig = ShardConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and shard (int), slot (long, gapless from 0 in each shard).
 
     Columns of these names in ``docs`` are replaced.  Each row is placed once,
     repeated rows and null ids or texts included; an empty table gives no rows.
     Rows go to buckets by a hash of id and text, so neither a hot id nor a large
-    group of equal texts fills one bucket; only rows equal in both share one.
+    group of equal texts fills one bucket; rows equal in both share one, and are
+    dealt over several if it overflows.  The same rows get the same places,
+    however they are partitioned, but for those of an overfull bucket.
     """
     docs = docs.drop("shard", "slot")
-    text = F.col(text_col).cast("string")
+    text = docs[text_col].cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + config.record_bytes
     total, rows = docs.agg(F.sum(size), F.count("*")).first()
     buckets = max(1, -(-(total or 0) // config.bucket_bytes))
-    scatter = F.xxhash64(F.lit(config.seed), F.col(id_col), text)
-    bucket = F.pmod(scatter, F.lit(buckets))
+    scatter = F.xxhash64(F.lit(config.seed), docs[id_col], text)
+    record = F.struct(scatter.alias("h"), F.struct(*docs.columns).alias("row"))
+    staged = docs.select(F.pmod(scatter, F.lit(buckets)).alias("bucket"), size.alias("bytes"), record.alias("record"))
+    filled = _fill(staged)
+    if dealt := _spread(staged, filled, buckets, config):
+        staged, buckets = dealt
+        filled = _fill(staged)
 
     # rows before each bucket: sums in runs of 1024 buckets, then over the runs
-    counts = docs.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).withColumn("run", F.floor(F.col("b") / 1024))
+    counts = filled.select("b", "n", F.floor(F.col("b") / 1024).alias("run"))
     runs = counts.groupBy("run").agg(F.sum("n").alias("n"))
     before_run = F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = runs.select("run", before_run.alias("run_first"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("run").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     firsts = counts.withColumn("before", before).join(runs, "run").select("b", (F.col("run_first") + F.col("before")).alias("first"))
 
-    record = F.struct(scatter.alias("h"), F.struct(*docs.columns).alias("row"))
-    scattered = docs.select(bucket.alias("bucket"), record.alias("record")).repartition("bucket")
-    # one order whatever order the records came in, then the shuffle
+    # a task for each bucket, so that its shuffle's seed is the bucket's own
+    scattered = staged.select(F.col("bucket").cast("int").alias("bucket"), "record").repartitionById(buckets, "bucket")
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
+    # one order whatever order the records came in, then the shuffle
     ordered = F.array_sort("records", lambda x, y: F.when(x["h"] < y["h"], -1).when(x["h"] > y["h"], 1).otherwise(0))
     shuffled = gathered.select("bucket", F.shuffle(ordered, seed=F.lit(config.seed)).alias("records"))
-    placed = shuffled.join(firsts, F.col("bucket") == F.col("b")).select("first", F.posexplode("records").alias("at", "record"))
+    placed = shuffled.join(small(firsts, buckets, 1_000_000), F.col("bucket") == F.col("b")).select("first", F.posexplode("records").alias("at", "record"))
     rank = F.col("first") + F.col("at")
     shard = F.expr(f"(first + at) * {config.shards}L div {max(rows, 1)}L")
     start = F.expr(f"(shard * {max(rows, 1)}L + {config.shards - 1}L) div {config.shards}L")
