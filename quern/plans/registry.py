@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from quern.plans import queries
+from quern.plans.oracles import ORACLES
+
+QUERIES = {f.__name__: f for f in queries.ALL}
+
+__all__ = ["ORACLES", "QUERIES"]
