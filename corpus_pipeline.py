@@ -9,7 +9,7 @@ from quern.llm.minhash import deduplicated
 from quern.llm.mixing import mixed_documents
 from quern.llm.quality import good_documents
 from quern.llm.sharding import shards
-from quern.llm.store import materialize, table
+from quern.store import materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

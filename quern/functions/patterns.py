@@ -10,6 +10,7 @@ import unicodedata
 
 # Line separators, white space, and the shapes that are counted or cleaned.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+ODD_BREAKS = r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 NO_BREAK_SPACES = r"[\x{a0}\x{2007}\x{202f}]"

@@ -35,14 +35,14 @@ def text_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
         *keep,
         n.alias("n_chars"),
         F.size("__lines").cast("long").alias("n_lines"),
-        F.size(T.tokens(t)).cast("long").alias("n_tokens"),
+        T.count_tokens(t).alias("n_tokens"),
         F.size(F.filter("__lines", lambda x: T.strip(x) == "")).cast("long").alias("blank_lines"),
         (total / F.greatest(F.size("__lines"), F.lit(1))).alias("avg_line_len"),
         F.coalesce(F.array_max(lengths), F.lit(0)).cast("long").alias("max_line_len"),
         share(T.digits(t)).alias("digit_ratio"),
         share(T.uppers(t)).alias("upper_ratio"),
         share(T.non_ascii(t)).alias("non_ascii_ratio"),
-        F.regexp_count(t, F.lit(P.EMAIL)).cast("long").alias("email_count"),
+        T.count_emails(t).alias("email_count"),
         T.count_matches(t, P.PHONE).alias("phone_like_count"),
         T.count_matches(t, P.DATE).alias("date_like_count"),
         T.count_matches(t, P.MONEY, True).alias("money_like_count"),
