@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.numbering import prefix_sums, ranks
-from quern.llm.store import materialize, table
+from quern.operators.numbering import prefix_sums, ranks
+from quern.store import materialize, table
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)

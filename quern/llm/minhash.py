@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.components import components
+from quern.operators.components import components
 from quern.llm.shingles import Signer, jaccard_at_least, set_digest, shingle_sets
-from quern.llm.store import materialize, small, table
+from quern.store import materialize, small, table
 
 
 @dataclass(frozen=True)

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import kernels as K
-from quern.llm.numbering import ranks
-from quern.llm.store import materialize, small, table
+from quern.operators.numbering import ranks
+from quern.store import materialize, small, table
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import kernels as K
-from quern.llm.store import table
+from quern.store import table
 
 
 @dataclass(frozen=True)

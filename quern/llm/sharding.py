@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.store import materialize, small, table
+from quern.store import materialize, small, table
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import sstable
-from quern.llm.store import materialize, new_dir, table
+from quern.store import materialize, new_dir, table
 
 
 @dataclass(frozen=True)
