@@ -8,6 +8,10 @@ those of the attempts that counted.
 
 from __future__ import annotations
 
+import functools
+import json
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,12 +28,17 @@ from quern.llm import sstable
 from quern.store import materialize, new_dir, table
 
 
+#: the white space that bytes.split knows
+_GAP = re.compile(rb"[ \t\n\r\x0b\x0c]")
+
+
 @dataclass(frozen=True)
 class TokenConfig:
     tokenizer: str = public_tokenizers.path("word_bpe_49k.json")
     end_id: int = 1
-    cache_words: int = 200_000  # ids of so many different words are kept by a worker
-    cached_word_bytes: int = 48
+    cache_words: int = 400_000  # of a generation of the cache; a worker keeps two
+    cache_bytes: int = 64 << 20  # of a generation's words and ids
+    piece_bytes: int = 1 << 20  # of a text that are split into words at once
 
 
 class Encoder:
@@ -37,22 +46,36 @@ class Encoder:
 
     For a tokenizer that drops white space, and whose normaliser and
     pre-tokenizer never look across it, a text's ids are those of its words one
-    after another, so each different word need be encoded only once.
+    after another, so a word need be encoded only when it is new: a cache of two
+    generations keeps those that recur.
     ``by_words`` says whether the file's settings are of that kind; if not, whole
     texts are encoded.
     """
 
     def __init__(self, config: TokenConfig):
-        import json
-
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.config, self.tokenizer = config, Tokenizer.from_file(config.tokenizer)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 and config.end_id < 65536 else 4
         self.end = config.end_id.to_bytes(self.width, "little")
-        self.cache: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.size = 0
         with open(config.tokenizer, encoding="utf-8") as file:
-            self.by_words = self._splits(json.load(file))
+            spec = json.load(file)
+        self.by_words = self._splits(spec)
+        # a special token between words keeps their ids apart in one call
+        marks = [t["content"] for t in spec.get("added_tokens", []) if t.get("special") and not t["content"].isspace()]
+        self.mark = marks[-1] if marks else None
+        self.mark_id = self.tokenizer.token_to_id(self.mark) if marks else None
+        self.marks = [m.encode() for m in marks]
+        # which ids end a run of letters, where the vocabulary says so
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix and self.mark is not None:
+            self.ends = np.zeros(1 << (8 * self.width) if self.width == 2 else max(self.tokenizer.get_vocab().values()) + 1, bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
 
     @staticmethod
     def _splits(spec: dict) -> bool:
@@ -63,24 +86,86 @@ class Encoder:
         plain = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "\\s" not in pattern.replace("[^\\s", "")
         return plain and set(norms) <= {"NFC", "Replace", "Lowercase"} and not any(t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, dtype=kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=f"<u{self.width}") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with its ids; many words go to the tokenizer as one text."""
+        letters, joined, alone = [], [], []
+        for w in words:
+            if self.ends is not None and w.decode().isalpha():
+                letters.append(w)
+            else:
+                (alone if self.mark is None or b"<" in w and any(m in w for m in self.marks) else joined).append(w)
+        for i in range(0, len(letters), 4096):
+            part = letters[i : i + 4096]
+            ids = self._ids([b" ".join(part).decode()])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part):  # every word has one end at least, so each has just one
+                yield from self._cut(part, ids, [0, *ends[:-1].tolist()], ends.tolist())
+            else:
+                joined += part
+        for i in range(0, len(joined), 4096):
+            part = joined[i : i + 4096]
+            ids = self._ids([self.mark.join(w.decode() for w in part)])[0]
+            cuts = np.flatnonzero(ids == self.mark_id).tolist()
+            if len(cuts) != len(part) - 1:
+                raise ValueError("the tokenizer does not keep its special tokens apart")
+            yield from self._cut(part, ids, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)])
+        if alone:
+            for w, ids in zip(alone, self._ids([w.decode() for w in alone]), strict=True):
+                yield w, ids.tobytes()
+
+    def _cut(self, words: list[bytes], ids: np.ndarray, starts: list[int], ends: list[int]) -> Iterator[tuple[bytes, bytes]]:
+        raw, k = ids.tobytes(), self.width
+        return zip(words, [raw[a * k : b * k] for a, b in zip(starts, ends, strict=True)], strict=True)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """All of ``words`` are in the young generation afterwards."""
+        if len(self.young) > self.config.cache_words or self.size > self.config.cache_bytes:
+            self.old, self.young, self.size = self.young, {}, 0
+        young, old, new = self.young, self.old, []
+        for w in dict.fromkeys(words):
+            if w not in young:
+                ids = old.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    young[w] = ids
+                    self.size += len(w) + len(ids)
+        for w, ids in self._encode(new):
+            young[w] = ids
+            self.size += len(w) + len(ids)
+
+    def _pieces(self, text: bytes) -> Iterator[bytes]:
+        """Parts of a long text, cut at white space."""
+        at = 0
+        while len(text) - at > self.config.piece_bytes:
+            gap = _GAP.search(text, at + self.config.piece_bytes)
+            if gap is None:
+                break
+            yield text[at : gap.start()]
+            at = gap.start()
+        yield text[at:]
 
     def __call__(self, text: bytes) -> bytes:
         if not self.by_words:
-            return self._encode([text.decode()])[0] + self.end
-        words, cache = text.split(), self.cache
-        try:
-            return b"".join([cache[w] for w in words]) + self.end
-        except KeyError:
-            missing = [w for w in dict.fromkeys(words) if w not in cache]
-            if len(cache) + len(missing) > self.config.cache_words:
-                cache.clear()
-                missing = list(dict.fromkeys(words))
-            found = dict(zip(missing, self._encode([w.decode() for w in missing]), strict=True))
-            cache.update((w, ids) for w, ids in found.items() if len(w) <= self.config.cached_word_bytes)
-            return b"".join([found[w] if w in found else cache[w] for w in words]) + self.end
+            return self._ids([text.decode()])[0].tobytes() + self.end
+        out = []
+        for piece in self._pieces(text):
+            words = piece.split()
+            try:
+                out.append(b"".join([self.young[w] for w in words]))
+            except KeyError:
+                self._learn(words)
+                out.append(b"".join([self.young[w] for w in words]))
+        return b"".join(out) + self.end
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(config: TokenConfig) -> Encoder:
+    """One for each worker, whatever number of tasks it runs."""
+    return Encoder(config)
 
 
 _MANIFEST = "path string, size long, first_id long, first_hash long, documents long, ids long"
@@ -92,7 +177,7 @@ def _write(config: TokenConfig, folder: str):
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             if batch.num_rows and writer is None:
-                encode = Encoder(config)
+                encode = encoder(config)
                 store.create_dir(root, recursive=True)
                 file = store.open_output_stream(f"{root}/{name}")
                 writer, first = sstable.Writer(file, encode.width), (batch.column(0)[0].as_py(), batch.column(1)[0].as_py())

@@ -11,7 +11,7 @@ from quern.llm import sstable
 from quern.llm.tokens import Encoder, TokenConfig, op9_tokens, read_shards, write_shards
 from tokenizers import Tokenizer
 
-ODD = ["<|endoftext|> a<|startoftext|>b <|endoftext|>", "Don't I'LL we've o' s' x\u0085y\x1cz", "é ́e a ̈", " ᠎​﻿x", "１２3 ½ ²", "ΑΣ Σ ΑΣ.", "a" * 3000, "İstanbul ǅ", "", " \n "]
+ODD = ["<|endoftext|> a<|startoftext|>x <|endof<|endoftext|> a<|startoftext|>b <|endoftext|>", "Don't I'LL we've o' s' x\u0085y\x1cz", "é ́e a ̈", " ᠎​﻿x", "１２3 ½ ²", "ΑΣ Σ ΑΣ.", "a" * 3000, "İstanbul ǅ", "", " \n "]
 
 
 def whole(texts):
@@ -20,7 +20,7 @@ def whole(texts):
 
 
 def test_words_give_the_ids_of_whole_texts():
-    config = TokenConfig(cache_words=500)
+    config = TokenConfig(cache_words=500, piece_bytes=1000)
     encode = Encoder(config)
     texts = [r[1] or "" for r in rows()] + ODD
     for text, want in zip(texts, whole(texts), strict=True):
