@@ -39,7 +39,7 @@ def _sizes(batches):
             _, _, first = K.words(raw, bounds, K.NON_SPACE)
             counts.append(np.diff(first))
         size = np.concatenate(counts) if counts else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(size, pa.int64())], names=["doc_id", "source", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(size, pa.int64()), batch.column(3), batch.column(4)], names=["doc_id", "source", "size", "h", "n"])
 
 
 def targets(sources: DataFrame, config: MixConfig) -> DataFrame:
@@ -63,14 +63,15 @@ def targets(sources: DataFrame, config: MixConfig) -> DataFrame:
     return ranked.withColumn("target", F.least(F.col("cap"), F.col("weight") * F.lit(level))).drop("rank", "weight", "cap")
 
 
-_ROW = "doc_id long, source string, size long, leaf long, base int, p double, fractional boolean"
+_SIZED = "doc_id long, source string, size long, h long, n long"
+_ROW = f"{_SIZED}, leaf long, base int, p double, fractional boolean"
 
 
 def _duel(seed: int, last: bool):
     """Rounds one leaf: at most one row stays fractional, none if this is the ``last`` level."""
 
     def run(leaf: pa.Table) -> pa.Table:
-        leaf = leaf.sort_by([("doc_id", "ascending"), ("size", "ascending"), ("p", "ascending"), ("leaf", "ascending")])
+        leaf = leaf.sort_by([("doc_id", "ascending"), ("size", "ascending"), ("p", "ascending"), ("leaf", "ascending"), ("h", "ascending"), ("n", "ascending")])
         ids, size, p = leaf["doc_id"].to_pylist(), leaf["size"].to_pylist(), leaf["p"].to_pylist()
         rng = np.random.default_rng([seed, len(ids), *[(x or 0) & 0xFFFFFFFF for x in (ids[0], ids[-1], sum(size))]])
         luck = rng.random(len(p) + 1).tolist()
@@ -113,8 +114,14 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id"
     Within a source the words taken differ from the target by less than the
     largest document.
     """
-    read = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    sized = materialize(read.mapInArrow(_sizes, "doc_id long, source string, size long"), "sized")
+    none = F.lit(0).cast("long")
+    read = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"), none.alias("h"), none.alias("n"))
+    return _mixed(read, config).drop("h", "n")
+
+
+def _mixed(read: DataFrame, config: MixConfig) -> DataFrame:
+    """``mix`` of doc_id, source, text, h (orders rows of one id and size), n (the row's number); h and n go along."""
+    sized = materialize(read.mapInArrow(_sizes, _SIZED), "sized")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     aims = materialize(targets(sources, config), "targets")
     n_sources, largest = aims.agg(F.count("*"), F.max("rows")).first()
@@ -123,7 +130,7 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id"
     x = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(config.most)))).otherwise(0.0)
     aim = aims.select(F.col("source").alias("s"), x.alias("x"), leaves.alias("leaves"))
     rows = sized.join(small(aim, n_sources, 100_000), sized.source.eqNullSafe(F.col("s")))
-    rows = rows.select("doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(config.seed), "doc_id", "size"), "leaves").alias("leaf"), F.floor("x").cast("int").alias("base"), (F.col("x") - F.floor("x")).alias("p"), F.lit(True).alias("fractional"))
+    rows = rows.select("doc_id", "source", "size", "h", "n", F.pmod(F.xxhash64(F.lit(config.seed), "doc_id", "size"), "leaves").alias("leaf"), F.floor("x").cast("int").alias("base"), (F.col("x") - F.floor("x")).alias("p"), F.lit(True).alias("fractional"))
     done, width = [], -(-(largest or 1) // config.leaf_rows)
     while True:
         level = rows.groupBy("source", "leaf").applyInArrow(_duel(config.seed + len(done), width == 1), _ROW)
@@ -136,7 +143,7 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id"
     out = done[0]
     for level in done[1:]:
         out = out.unionByName(level)
-    out = out.select("doc_id", "source", "size", (F.col("base") + F.col("p").cast("int")).alias("copies"))
+    out = out.select("doc_id", "source", "size", "h", "n", (F.col("base") + F.col("p").cast("int")).alias("copies"))
     named = aims.select(F.col("source").alias("s"), "source_size", "target")
     out = out.join(small(named, n_sources, 100_000), out.source.eqNullSafe(F.col("s"))).drop("s")
     return out.withColumn("taken", F.col("copies") * F.col("size"))
@@ -148,20 +155,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """The pipeline's stage: each document as often as the mix takes it.
+    """The pipeline's stage: each row as often as the mix takes it.
 
-    Rows that share an id and a source are one document with all their copies.
+    Rows are numbered, so rows that share an id and a source keep their own copies.
     """
-    copies = mix(docs, config).groupBy("doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
-    copies = materialize(copies, "copies")
-    n, repeated = copies.agg(F.count("*"), F.count_if(F.col("rows") > 1)).first()
-
-    def taken(rows: DataFrame, which: DataFrame) -> DataFrame:
-        rows = rows.select(F.struct(*docs.columns).alias("row"))  # its columns may have any names
-        met = F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")) & F.col("row")["source"].eqNullSafe(F.col("source"))
-        return rows.join(small(which, n, 1_000_000), met).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
-
-    out = taken(docs, copies.where("rows = 1"))
-    if repeated:
-        out = out.unionByName(taken(docs.dropDuplicates(["doc_id", "source"]), copies.where("rows > 1")))
-    return out
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*docs.columns).alias("row")), "numbered")  # columns of docs may have any names
+    row, text = F.col("row"), F.col("row")["text"].cast("string")
+    read = rows.select(row["doc_id"].alias("doc_id"), row["source"].cast("string").alias("source"), text.alias("text"), F.xxhash64(text).alias("h"), "n")
+    copies = materialize(_mixed(read, config).where("copies > 0").select(F.col("n").alias("taken"), "copies"), "copies")
+    met = rows.join(small(copies, copies.count(), 1_000_000), F.col("n") == F.col("taken"))
+    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -105,6 +105,21 @@ def test_stage_repeats_documents(spark):
     assert seen == {k: v for k, v in copies.items() if v}
 
 
+def test_stage_takes_each_row_of_one_id_by_itself(spark):
+    """Different texts under a null or repeated id: none is lost, none gets another's copies."""
+    data = [(None if i < 30 else 7, f"text {i} " + "w " * (i % 5), "en", "a", i) for i in range(60)]
+    for docs in (table(spark, data), table(spark, data[::-1]).repartition(5)):
+        seen = {}
+        for r in mixed_documents(docs, MixConfig(weights=(1,))).collect():
+            seen[r.n_chars] = seen.get(r.n_chars, 0) + 1
+        assert seen == {i: 1 for i in range(60)}  # one source: its target is its size
+    tripled = table(spark, [(None, f"b{i} x", "en", "b", i) for i in range(9)] + [(i, "w " * 100, "en", "a", 100 + i) for i in range(9)])
+    seen = {}
+    for r in mixed_documents(tripled, MixConfig(weights=(1, 9))).collect():
+        seen[r.text] = seen.get(r.text, 0) + 1
+    assert all(seen[f"b{i} x"] == 3 for i in range(9))  # its target is capped at three times its size
+
+
 def test_empty_table(spark):
     assert mix(empty(spark)).count() == 0
     assert mixed_documents(empty(spark)).count() == 0
