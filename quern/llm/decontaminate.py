@@ -205,6 +205,36 @@ def _blocks(items: DataFrame, config: LeakConfig) -> Iterator[tuple[list[str], l
             yield rows["item_id"].to_pylist(), rows["text"].to_pylist()
 
 
+def _indexed(texts: DataFrame, benchmark: DataFrame, config: LeakConfig):
+    """The broadcast windows of each block of items, indexed by the counts in ``texts``."""
+    spark = texts.sparkSession
+    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    for ids, items_texts in _blocks(items, config):
+        windows = Windows(ids, items_texts, config)
+        counts = np.zeros(len(windows.vocabulary), np.int64)
+        if len(counts):
+            shared = spark.sparkContext.broadcast(windows)
+            for i, n in texts.mapInArrow(_count(shared), "i long, n long").groupBy("i").agg(F.sum("n")).toLocalIterator():
+                counts[i] = n
+        windows.index(counts)
+        yield spark.sparkContext.broadcast(windows)
+
+
+def _clean(windows, at: int):
+    """The rows whose own text (column ``at``) holds no window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = windows.value
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            for i, _, h, first in _words(batch.column(at).cast(pa.string())):
+                places, _ = index.probe(h, first)
+                ok[i + np.searchsorted(first, places, side="right") - 1] = False
+            yield batch.filter(pa.array(ok))
+
+    return run
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, n_hit, ranges (bounds of the
     runs of hit words, in turn start and end), items (ids as strings, sorted).
@@ -218,20 +248,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakC
     An index holds 16 MB of item texts; a larger benchmark is worked through in
     such blocks.
     """
-    spark = docs.sparkSession
-    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = []
-    for ids, items_texts in _blocks(items, config):
-        windows = Windows(ids, items_texts, config)
-        counts = np.zeros(len(windows.vocabulary), np.int64)
-        if len(counts):
-            shared = spark.sparkContext.broadcast(windows)
-            for i, n in texts.mapInArrow(_count(shared), "i long, n long").groupBy("i").agg(F.sum("n")).toLocalIterator():
-                counts[i] = n
-        windows.index(counts)
-        found.append(read.mapInArrow(_hits(spark.sparkContext.broadcast(windows)), _HITS))
+    found = [read.mapInArrow(_hits(shared), _HITS) for shared in _indexed(docs.select(F.col(text_col).cast("string").alias("text")), benchmark, config)]
     if len(found) == 1:
         return found[0].drop("row")
     out = found[0]
@@ -251,13 +269,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig()) -> DataFrame:
-    """The pipeline's stage: documents that hold a window of an item go.
-
-    Rows are dropped by id, so all rows of a contaminated id go; that holds for
-    the null id too."""
-    bad = find_leaks(docs, benchmark, config).where("n_hit > 0")
-    # the ids of what goes: few, so the texts need not be shuffled for them if Spark sees their size
-    ids = materialize(bad.select(F.col("doc_id").alias("bad_id")).distinct(), "leaks")
-    n = ids.count()
-    ids = F.broadcast(ids) if n <= 4_000_000 else ids
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["bad_id"]), "left_anti")
+    """The pipeline's stage: documents that hold a window of an item go, each row by its own text."""
+    out, schema = docs, docs.schema
+    for shared in _indexed(docs.select(F.col("text").cast("string").alias("text")), benchmark, config):
+        out = out.mapInArrow(_clean(shared, schema.names.index("text")), schema)
+    return out

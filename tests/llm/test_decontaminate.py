@@ -79,6 +79,16 @@ def test_stage_drops_hit_documents_only(spark):
     assert sorted(repr(r.doc_id) for r in out.collect()) == sorted(repr(r[0]) for r in data if r[0] not in bad)
 
 
+@pytest.mark.parametrize("block_bytes", [16 << 20, 60])
+def test_stage_judges_each_row_by_itself(spark, block_bytes):
+    """Clean rows stay when another row of their id, null or not, is hit."""
+    leak, other = "one two three four five six seven eight nine ten", "red green blue black white brown pink grey teal lime"
+    data = [(None, f"before {leak} after", "en", "a", 0), (None, "a clean text", "en", "a", 1), (None, None, "en", "a", 2), (5, leak, "en", "a", 3), (5, "clean too", "en", "a", 4), (6, other.upper(), "en", "a", 5), (6, "", "en", "a", 6)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate((leak, other))], "item_id long, text string")
+    out = clean_documents(table(spark, data).repartition(2), items, LeakConfig(block_bytes=block_bytes)).collect()
+    assert sorted(r.n_chars for r in out) == [1, 2, 4, 6]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
