@@ -25,7 +25,6 @@ from quern.store import table
 class QualityConfig:
     sample_rows: int = 3000  # labelled documents to fit and calibrate on, by a hash of their ids
     held_out: int = 4  # one in so many of them calibrates
-    sample_bytes: int = 20_000  # of a labelled text that the fit looks at; scoring looks at all
     bits: int = 15  # of the hash of either kind of n-gram
     word_sizes: tuple[int, ...] = (1, 2)
     byte_sizes: tuple[int, ...] = (2, 3)
@@ -71,9 +70,8 @@ def _features(config: QualityConfig):
     def run(batches):
         for batch in batches:
             index, value = [], []
-            texts = [t[: config.sample_bytes] for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            for text in texts:
-                raw = np.frombuffer(text, np.uint8)
+            for text in batch.column(2).cast(pa.binary()):
+                raw = np.frombuffer(text.as_buffer(), np.uint8)
                 bounds = np.array([0, len(raw)])
                 starts, ends, first = K.words(raw, bounds, K.NON_SPACE)
                 h = K.span_hashes(raw, starts, ends)

@@ -76,6 +76,19 @@ def test_fit_is_the_same_for_any_partitions(spark):
     assert (a.weights == b.weights).all() and a.slope == b.slope and a.rows == b.rows
 
 
+def test_fit_looks_at_whole_texts(spark):
+    """Long documents that differ only in what comes late."""
+    rng = random.Random(6)
+    start = prose(rng, 4000)
+    start += " same" * (20_000 // 5)
+    data = [(i, start + " " + t * 20, "en", "a", 1) for i, t, *_ in _two_kinds()[:60]]
+    known = labels_of(spark, [(i, i % 2, 0) for i in range(60)])
+    model = train(table(spark, data, False), known)
+    assert model.rows == 60 and model.slope > 0 and model.accuracy == 1
+    good = {r.doc_id: r.good for r in judge(table(spark, data, False), known).collect()}
+    assert min(good[i] for i in range(1, 60, 2)) > max(good[i] for i in range(0, 60, 2))
+
+
 def test_accuracy_on_test_tables(spark):
     sf = "/root/testdata/sf0.01"
     docs, known = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
