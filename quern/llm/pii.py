@@ -5,6 +5,7 @@ make a lexical pattern.  Other tokens that look like identifiers are candidates.
 Patterns that several seeds share are counted in all texts, and those that mostly
 stand before other words are dropped.  Spark then scores the graph of patterns and instances in turns: a pattern is as
 good as its instances, an instance as good as its best pattern; seeds stay at 1.
+What trusted patterns hold counts as support for further patterns, until nothing is added.
 Candidates in the contexts of patterns that end up trusted are reported too.
 """
 
@@ -28,8 +29,8 @@ KINDS = ("email", "ip", "card", "phone", "context")
 @dataclass(frozen=True)
 class PiiConfig:
     context_words: int = 2  # before an entity, that make its pattern
-    rounds: int = 3
-    least_support: int = 3  # different seeds that a trusted pattern must have met
+    rounds: int = 3  # of scores, between two looks for further patterns
+    least_support: int = 3  # different seeds or instances of trusted patterns that a pattern must have met
     least_share: float = 0.5  # of all places of a trusted pattern that an identifier follows
     least_score: float = 0.6  # of a trusted pattern
     block_patterns: int = 1_000_000  # hashes of patterns (8 bytes) that are broadcast at once
@@ -42,6 +43,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIM = ".,;:!?()[]{}<>\"'"
+_OPEN = "([{<\"'"
 _SPACE = frozenset(" \t\n\r\x0b\x0c")
 
 
@@ -95,7 +97,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _pattern(text: str, start: int, words: int) -> str | None:
-    """The words before ``start``, lower-cased (A-Z); None where there are fewer or none ends there."""
+    """The words before ``start`` and what opens there, lower-cased (A-Z); None where there are fewer or none ends there."""
+    while start > 0 and text[start - 1] in _OPEN:
+        start -= 1
     low = max(0, start - 80 * words)
     before = text[low:start].encode()
     if not before or before[-1] not in b" \t\n\r\x0b\x0c":
@@ -105,8 +109,7 @@ def _pattern(text: str, start: int, words: int) -> str | None:
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens that look like identifiers (6 or more characters, 4 or more digits, not more
-    than 64) and meet no base span."""
+    """Tokens that look like identifiers (6 or more characters, 4 or more digits) and meet no base span."""
     taken = sorted((a, b) for _, a, b in spans)
     done, i = 0, 0
     for cluster in _DIGITS.finditer(text):
@@ -125,7 +128,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[i
             b -= 1
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if 6 <= b - a <= 64 and sum(c in "0123456789" for c in text[a:b]) >= 4 and not (i < len(taken) and taken[i][0] < b):
+        if b - a >= 6 and sum(c in "0123456789" for c in text[a:b]) >= 4 and not (i < len(taken) and taken[i][0] < b):
             yield a, b
 
 
@@ -141,7 +144,7 @@ def _scan(config: PiiConfig):
             for text in batch.column(2):
                 text = text.as_py() or ""
                 spans = base_spans(text)
-                seen = [(_pattern(text, a, config.context_words), text[a : min(b, a + 64)].lower(), True, a, b) for _, a, b in spans]
+                seen = [(_pattern(text, a, config.context_words), text[a:b].lower(), True, a, b) for _, a, b in spans]
                 seen += [(_pattern(text, a, config.context_words), text[a:b].lower(), False, a, b) for a, b in candidates(text, spans)]
                 all_spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans])
                 all_seen.append([dict(zip(("pattern", "instance", "seed", "start", "end"), s, strict=True)) for s in seen])
@@ -203,20 +206,34 @@ def _specific(patterns: DataFrame, seen: DataFrame, texts: DataFrame, config: Pi
 
 
 def _trusted(seen: DataFrame, texts: DataFrame, config: PiiConfig) -> DataFrame:
-    """The patterns that hold identifiers, by turns of scores over the graph."""
-    edges = seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    supported = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= config.least_support).select("pattern")
-    specific = _specific(supported, seen, texts, config)
-    edges = materialize(edges.join(specific, "pattern", "left_semi"), "graph")
-    scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for turn in range(config.rounds):
-        held = edges.join(scores, "instance")
-        patterns = held.groupBy("pattern").agg(F.avg("score").alias("mean"), F.count("*").alias("instances"))
-        patterns = patterns.withColumn("trust", F.col("mean") * (1 - F.pow(F.lit(0.5), F.col("instances"))))
-        patterns = materialize(patterns, f"patterns{turn}")
-        best = edges.join(patterns, "pattern").groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("trust"))).alias("score"))
-        scores = materialize(best, f"instances{turn}")
-    return patterns.where(F.col("trust") >= config.least_score).select(F.col("pattern").alias("trusted"))
+    """The patterns that hold identifiers, by turns of scores over the graph.
+
+    Scores only rise as the graph grows, so what is trusted once stays so."""
+    edges = materialize(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+    seeds = edges.where("seed").select("instance").distinct()
+    accepted, scores = seeds, seeds.withColumn("score", F.lit(1.0))
+    tried = specific = edges.select("pattern").limit(0)
+    trusted, graph, before, turn = tried, None, 0, 0
+    while True:
+        supported = edges.join(accepted, "instance", "left_semi").groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= config.least_support)
+        new = materialize(supported.select("pattern").join(tried, "pattern", "left_anti"), f"supported{turn}")
+        n = trusted.count()
+        if new.isEmpty() and n == before:
+            return trusted.withColumnRenamed("pattern", "trusted")
+        before = n
+        if not new.isEmpty():
+            tried = tried.unionAll(new)
+            specific = specific.unionAll(materialize(_specific(new, seen, texts, config), f"specific{turn}"))
+            graph = materialize(edges.join(specific, "pattern", "left_semi"), f"graph{turn}")
+        for _ in range(config.rounds):
+            held = graph.join(scores, "instance", "left")
+            patterns = held.groupBy("pattern").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"), F.count("*").alias("instances"))
+            patterns = materialize(patterns.withColumn("trust", F.col("mean") * (1 - F.pow(F.lit(0.5), F.col("instances")))), f"patterns{turn}")
+            best = graph.join(patterns, "pattern").groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("trust"))).alias("score"))
+            scores = materialize(best.unionAll(seeds.withColumn("score", F.lit(1.0))).groupBy("instance").agg(F.max("score").alias("score")), f"instances{turn}")
+        trusted = materialize(patterns.where(F.col("trust") >= config.least_score).select("pattern"), f"trusted{turn}")
+        accepted = edges.join(trusted, "pattern", "left_semi").select("instance").unionAll(seeds).distinct()
+        turn += 1
 
 
 def find_personal_data(docs: DataFrame, config: PiiConfig = PiiConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

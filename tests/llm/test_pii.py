@@ -68,6 +68,25 @@ def test_contexts_find_unseen_identifiers(spark):
         assert not [s for s in got[7200 + i] if KINDS[s.kind] == "context"]
 
 
+def test_found_identifiers_lead_to_further_contexts(spark):
+    """Identifiers in brackets, long ones, and ones whose context meets only found ones."""
+    rng = random.Random(9)
+    data = [r for r in planted() if r[0] is None or not 7100 <= r[0] < 7200]
+    names = [f"QX-{i}8841-{'z' * 80 if i == 5 else 'Z'}" for i in range(10)]
+    for i, name in enumerate(names):
+        data.append((7300 + i, prose(rng, 9) + " " + CONTEXT.format((name, f'"{name}"', f"({name})")[i % 3]) + " etc", "en", "a", 1))
+        data.append((7400 + i, prose(rng, 9) + f" zebra ledger {name} etc", "en", "a", 1))
+    far = [f"RT-{i}7731-Y" for i in range(4)]
+    for i, name in enumerate(far):
+        data.append((7500 + i, prose(rng, 9) + f" zebra ledger {name} etc", "en", "a", 1))
+    text = {r[0]: r[1] for r in data}
+    got = {r.doc_id: [text[r.doc_id][s.start : s.end] for s in r.spans if KINDS[s.kind] == "context"] for r in find_personal_data(table(spark, data)).collect() if r.doc_id is not None}
+    assert [got[7300 + i] for i in range(10)] == [[x] for x in names]
+    assert [got[7400 + i] for i in range(10)] == [[x] for x in names]
+    assert [got[7500 + i] for i in range(4)] == [[x] for x in far]
+    assert not any(got[7200 + i] for i in range(10))
+
+
 def test_base_spans_equal_plain_search(spark):
     data = planted()
     got = find_personal_data(table(spark, data), PiiConfig(block_patterns=2)).collect()
