@@ -66,3 +66,15 @@ def test_larger_groups_are_clustered_whole(spark):
     one = spark.range(300).select(F.lit("g").alias("g"), F.col("id"), F.array(F.struct(F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("term"), F.lit(1.0).alias("weight")), F.struct(F.concat(F.lit("t"), F.col("id") % 7).alias("term"), F.lit(0.2).alias("weight"))).alias("vector"))
     found = cluster_vectors(one, "g", "id", ClusterConfig(svd_components=None, umap_dim=2, fit_rows=120)).collect()
     assert sorted(r.id for r in found) == list(range(300))
+
+
+def test_large_null_group_is_whole(spark):
+    """Rows beyond the fitted ones come back for a null group as for any other."""
+    from quern.config import ClusterConfig
+    from quern.operators.cluster import cluster_vectors, svd_vectors
+
+    data = [(g, i + 100 * k, [(f"t{i % 4}", 0.8), (f"u{i % 7}", 0.6)]) for k, g in enumerate((None, "en", "")) for i in range(50)]
+    vecs = spark.createDataFrame(data, "g string, id long, vector array<struct<term:string,weight:double>>")
+    want = sorted((r[0], r[1]) for r in [(g or str(g), i) for g, i, _ in data])
+    for found in (svd_vectors(vecs, "g", "id", 3, fit_rows=20), cluster_vectors(vecs, "g", "id", ClusterConfig(svd_components=None, umap_dim=2, fit_rows=20))):
+        assert sorted((r.group or str(r.group), r.id) for r in found.collect()) == want
