@@ -78,3 +78,18 @@ def test_large_null_group_is_whole(spark):
     want = sorted((r[0], r[1]) for r in [(g or str(g), i) for g, i, _ in data])
     for found in (svd_vectors(vecs, "g", "id", 3, fit_rows=20), cluster_vectors(vecs, "g", "id", ClusterConfig(svd_components=None, umap_dim=2, fit_rows=20))):
         assert sorted((r.group or str(r.group), r.id) for r in found.collect()) == want
+
+
+def test_row_without_common_terms_is_noise():
+    import numpy as np
+    import pyarrow as pa
+    from quern.config import ClusterConfig
+    from quern.operators.cluster import _assign
+
+    class Shared:
+        value = {"g": {"vector": [[{"term": "a", "weight": 1.0}]], "label": np.array([0]), "prob": np.array([1.0]), "coords": np.zeros((1, 2))}}
+
+    vectors = [[{"term": "a", "weight": 1.0}], [{"term": "b", "weight": 1.0}], []]
+    batch = pa.RecordBatch.from_arrays([pa.array(["g"] * 3), pa.array([1, 2, 3]), pa.array(vectors, pa.list_(pa.struct([("term", pa.string()), ("weight", pa.float64())])))], names=["group", "id", "vector"])
+    (out,) = _assign(Shared, ClusterConfig())(iter([batch]))
+    assert out["label"].to_pylist() == [0, -1, -1] and out["prob"].to_pylist() == [1.0, 0.0, 0.0]
