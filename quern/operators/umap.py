@@ -92,7 +92,7 @@ def umap(inner: np.ndarray, neighbors: int, dim: int, min_dist: float = 0.1, see
         return np.pad(svd(inner, dim), ((0, 0), (0, max(0, dim - n)))).astype(np.float32)
     graph = _graph(inner, max(2, min(neighbors, n - 1)))
     a, b = _curve(min_dist)
-    epochs = epochs or (300 if n <= 1500 else 150)
+    epochs = epochs or 300
     head, tail = np.nonzero(graph > graph.max() / epochs)
     rate = graph[head, tail] / graph.max()
     y = _start(graph, dim, rng)

@@ -255,12 +255,12 @@ def hdbscan_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svd_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, vecs, _ = _word_tfidf(spark, sf_dir)
-    return C.svd_vectors(vecs, "kind", "doc_id", 50).select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
+    return C.svd_vectors(vecs, "kind", "doc_id", ClusterConfig().svd_components).select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
 
 
 def umap_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, vecs, _ = _word_tfidf(spark, sf_dir)
-    found = C.cluster_vectors(vecs, "kind", "doc_id", ClusterConfig(svd_components=100, umap_dim=5, fit_rows=1500))
+    found = C.cluster_vectors(vecs, "kind", "doc_id", ClusterConfig())
     return found.select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
 
 

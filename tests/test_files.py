@@ -1,6 +1,7 @@
 """Files to manifest, previews and labels, end to end on a small folder."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from quern.plans import pipelines
 from quern.sources import tables
@@ -93,3 +94,20 @@ def test_row_without_common_terms_is_noise():
     batch = pa.RecordBatch.from_arrays([pa.array(["g"] * 3), pa.array([1, 2, 3]), pa.array(vectors, pa.list_(pa.struct([("term", pa.string()), ("weight", pa.float64())])))], names=["group", "id", "vector"])
     (out,) = _assign(Shared, ClusterConfig())(iter([batch]))
     assert out["label"].to_pylist() == [0, -1, -1] and out["prob"].to_pylist() == [1.0, 0.0, 0.0]
+
+
+def test_embedding_queries_use_the_production_settings(spark, sf_dir, monkeypatch):
+    from quern.config import ClusterConfig
+    from quern.plans import queries
+
+    asked = []
+
+    def stop(*args):
+        asked.append(args[3])
+        raise InterruptedError
+
+    for name, query in (("svd_vectors", queries.svd_embed), ("cluster_vectors", queries.umap_embed)):
+        monkeypatch.setattr(queries.C, name, stop)
+        with pytest.raises(InterruptedError):
+            query(spark, sf_dir)
+    assert asked == [ClusterConfig().svd_components, ClusterConfig()]
