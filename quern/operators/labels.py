@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import number, snippet
 
-BLANK_COLUMNS = ("human_doc_type", "human_doc_type_confidence", "human_notes", "keep_for_ontology", "priority")
+BLANK_COLUMNS = ("human_doc_type", "human_doc_type_confidence", "human_notes", "keep_in_corpus", "priority")
 
 
 def cluster_samples(df: DataFrame, cluster: str = "docform_cluster", prob: str = "docform_cluster_prob", shown: str = "preview", order: tuple[str, ...] = ("doc_id",), k: int = 12, chars: int = 240) -> DataFrame:
@@ -38,13 +38,13 @@ def assigned(sheet: DataFrame, types: Mapping[str, str], maybe: tuple[str, ...]
         named = F.create_map(*[F.lit(x) for kv in types.items() for x in kv])[F.col(cluster)]
     kind = F.coalesce(named, F.col("human_doc_type"), F.lit(""))
     keep = F.when(kind.isin(*maybe), "maybe") if maybe else F.when(F.lit(False), "maybe")
-    return sheet.withColumn("human_doc_type", kind).withColumn("keep_for_ontology", keep.when(kind != "", "yes").otherwise(F.col("keep_for_ontology")))
+    return sheet.withColumn("human_doc_type", kind).withColumn("keep_in_corpus", keep.when(kind != "", "yes").otherwise(F.col("keep_in_corpus")))
 
 
 def join_labels(manifest: DataFrame, sheet: DataFrame, cluster: str = "docform_cluster", broadcast_rows: int = 100_000) -> DataFrame:
     """Each row with its cluster's labels.  The sheet has a row for each cluster; it is counted
     before it is broadcast."""
-    labels = sheet.select(F.col(cluster).alias("__c"), "human_doc_type", "keep_for_ontology", "priority", "human_notes")
+    labels = sheet.select(F.col(cluster).alias("__c"), "human_doc_type", "keep_in_corpus", "priority", "human_notes")
     labels = F.broadcast(labels) if labels.count() <= broadcast_rows else labels
     return manifest.join(labels, F.col(cluster).eqNullSafe(F.col("__c")), "left").drop("__c")
 

@@ -155,7 +155,7 @@ _NEAR = f"WITH RECURSIVE {HASHED}, {PAIRS}, {GROUPS}"
 CLUSTERED = f"m AS ({MANIFEST}), c AS (SELECT m.* EXCLUDE (human_doc_type), {FORM} AS docform_cluster, l.quality::DOUBLE AS docform_cluster_prob FROM m LEFT JOIN labels l ON m.doc_id = l.doc_id::VARCHAR)"
 SAMPLES = f"""{CLUSTERED}, s AS (SELECT *, row_number() OVER (PARTITION BY docform_cluster ORDER BY coalesce(docform_cluster_prob, 0) DESC, length(preview) DESC, rel_path) AS place,
 substring(regexp_replace(preview, '[\\r\\n]', ' ', 'g'), 1, 240) AS preview_snip FROM c)"""
-_BLANK = ", ".join(f"'' AS {c}" for c in ("human_doc_type", "human_doc_type_confidence", "human_notes", "keep_for_ontology", "priority"))
+_BLANK = ", ".join(f"'' AS {c}" for c in ("human_doc_type", "human_doc_type_confidence", "human_notes", "keep_in_corpus", "priority"))
 SHEET = f"""{SAMPLES}, e AS (SELECT docform_cluster, string_agg(rel_path, ' | ' ORDER BY place) AS example_rel_paths, string_agg(preview_snip, ' || ' ORDER BY place) AS example_previews FROM s WHERE place <= 5 GROUP BY 1)"""
 _TYPES = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in SHEET_TYPES.items())
 
@@ -251,7 +251,7 @@ ORACLES = {
     "neardup_canonical": f"{_NEAR}, best AS (SELECT doc_id, near_dup_group, row_number() OVER (PARTITION BY near_dup_group ORDER BY norm_len DESC, doc_id) AS k FROM groups) SELECT doc_id, source, near_dup_group FROM best JOIN documents USING (doc_id) WHERE k = 1",
     "cluster_samples": f"WITH {SAMPLES} SELECT docform_cluster, place, doc_id, rel_path, preview_snip FROM s WHERE place <= 12",
     "label_sheet": f"WITH {SHEET} SELECT {_BLANK}, docform_cluster, count(*) AS n_docs, any_value(example_rel_paths) AS example_rel_paths, any_value(example_previews) AS example_previews FROM c JOIN e USING (docform_cluster) GROUP BY docform_cluster",
-    "label_join": f"WITH {CLUSTERED}, k AS (SELECT doc_id, docform_cluster, CASE docform_cluster {_TYPES} ELSE '' END AS human_doc_type FROM c) SELECT doc_id, docform_cluster, human_doc_type, CASE WHEN human_doc_type = 'web_notes' THEN 'maybe' WHEN human_doc_type <> '' THEN 'yes' ELSE '' END AS keep_for_ontology, '' AS priority FROM k",
+    "label_join": f"WITH {CLUSTERED}, k AS (SELECT doc_id, docform_cluster, CASE docform_cluster {_TYPES} ELSE '' END AS human_doc_type FROM c) SELECT doc_id, docform_cluster, human_doc_type, CASE WHEN human_doc_type = 'web_notes' THEN 'maybe' WHEN human_doc_type <> '' THEN 'yes' ELSE '' END AS keep_in_corpus, '' AS priority FROM k",
     "seeded_sample": f"SELECT topic, doc_id FROM (SELECT topic, doc_id, row_number() OVER (PARTITION BY topic ORDER BY md5('42:' || doc_id), doc_id) AS k FROM (SELECT doc_id, {TOPIC} AS topic FROM documents) WHERE topic <> -1) WHERE k <= 10",
     "docform_features": _features(),
     "docform_feature_means": f"SELECT lang, count(*) AS n_docs, {', '.join(f'round(avg({c}), 6) AS {c}' for c in M.COUNTS)} FROM ({stats('documents', 'doc_id', more=', lang')}) GROUP BY lang",

@@ -6,7 +6,7 @@ are: family and type of a document by its language, clusters by its source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.config import CharGramConfig, ClusterConfig, SemanticConfig
@@ -23,9 +23,19 @@ from quern.sources.tables import with_previews
 from quern.streaming import stats as streaming
 
 RATIOS = ("avg_line_len", "digit_ratio", "upper_ratio", "non_ascii_ratio")
-FAMILY = F.expr("CASE lang WHEN 'en' THEN 'text' WHEN 'de' THEN 'pdf' WHEN 'fr' THEN 'image' ELSE 'binary' END")
-KIND = F.expr("CASE lang WHEN 'en' THEN 'email_prose' WHEN 'de' THEN 'chat_ichat_prose' ELSE lang END")
-TOPIC = F.expr("CASE WHEN source < 'src13' THEN 0 WHEN source < 'src17' THEN 1 ELSE -1 END")
+
+
+# Columns are made when a query is: without a session there are none.
+def family() -> Column:
+    return F.expr("CASE lang WHEN 'en' THEN 'text' WHEN 'de' THEN 'pdf' WHEN 'fr' THEN 'image' ELSE 'binary' END")
+
+
+def kind() -> Column:
+    return F.expr("CASE lang WHEN 'en' THEN 'email_prose' WHEN 'de' THEN 'chat_ichat_prose' ELSE lang END")
+
+
+def topic() -> Column:
+    return F.expr("CASE WHEN source < 'src13' THEN 0 WHEN source < 'src17' THEN 1 ELSE -1 END")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +58,9 @@ def manifest_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("sha256"),
         F.col("source").alias("source_root"),
         F.concat("source", F.lit("/"), F.col("doc_id")).alias("rel_path"),
-        FAMILY.alias("doc_family"),
-        KIND.alias("human_doc_type"),
-        TOPIC.alias("topic"),
+        family().alias("doc_family"),
+        kind().alias("human_doc_type"),
+        topic().alias("topic"),
         T.preview(F.col("text")).alias("preview"),
         "text",
     )
@@ -73,7 +83,7 @@ def html_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = manifest.triage(manifest.text_stats(documents(spark, sf_dir).withColumn("doc_family", FAMILY)))
+    flagged = manifest.triage(manifest.text_stats(documents(spark, sf_dir).withColumn("doc_family", family())))
     return flagged.select("doc_id", "doc_family", "has_text", "text_missing", "text_usable_now", "has_emails", "has_phones", "has_dates", "has_money")
 
 
@@ -89,7 +99,7 @@ def family_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extraction_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedded text and OCR text by stand-in: what a document's first line and source give."""
-    docs = documents(spark, sf_dir).withColumn("doc_family", FAMILY).withColumn("embedded", F.when(F.col("source") < "src15", F.substring("text", 1, 40)).otherwise(""))
+    docs = documents(spark, sf_dir).withColumn("doc_family", family()).withColumn("embedded", F.when(F.col("source") < "src15", F.substring("text", 1, 40)).otherwise(""))
     docs = docs.withColumn("ocr", F.when(F.col("source") > "src13", F.substring("text", 41, 40)).otherwise("")).withColumn("pending", manifest.needs_ocr(F.col("embedded")))
     method = manifest.extraction_method(F.col("doc_family"), F.col("pending"), F.col("embedded"), F.col("ocr"))
     return docs.select("doc_id", method.alias("extraction_method"), manifest.merged_text(F.col("embedded"), F.col("ocr")).alias("merged"))
@@ -109,12 +119,12 @@ def top_duplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", T.normalize_text(KIND, F.col("text")).alias("norm"))
+    return documents(spark, sf_dir).select("doc_id", T.normalize_text(kind(), F.col("text")).alias("norm"))
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("preview", T.preview(F.col("text")))
-    return neardup.hashed(docs, "doc_id", KIND, F.col("preview"), most_chars=800)
+    return neardup.hashed(docs, "doc_id", kind(), F.col("preview"), most_chars=800)
 
 
 def simhash64(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,11 +173,11 @@ def label_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     clustered = _form_clusters(spark, sf_dir)
     sheet = labels.assigned(_sheet(clustered), SHEET_TYPES, ("web_notes",))
-    return labels.join_labels(clustered, sheet).select("doc_id", "docform_cluster", "human_doc_type", "keep_for_ontology", "priority")
+    return labels.join_labels(clustered, sheet).select("doc_id", "docform_cluster", "human_doc_type", "keep_in_corpus", "priority")
 
 
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).withColumn("topic", TOPIC)
+    docs = documents(spark, sf_dir).withColumn("topic", topic())
     return labels.seeded_sample(docs, "topic", "doc_id", 10, 42).select("topic", "doc_id")
 
 
@@ -189,13 +199,13 @@ def char_ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    cleaned = T.clean_text(KIND, T.preview(F.col("text")), PHRASES)
+    cleaned = T.clean_text(kind(), T.preview(F.col("text")), PHRASES)
     return docs.select("doc_id", cleaned.alias("clean")).withColumn("clean_tok_len", F.size(T.tokens(F.col("clean"))).cast("long"))
 
 
 def _word_tfidf(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = documents(spark, sf_dir)
-    rows = docs.select("doc_id", KIND.alias("kind"), TOPIC.alias("topic"), T.clean_text(KIND, T.preview(F.col("text")), PHRASES).alias("clean"))
+    rows = docs.select("doc_id", kind().alias("kind"), topic().alias("topic"), T.clean_text(kind(), T.preview(F.col("text")), PHRASES).alias("clean"))
     vecs, vocab = tfidf.word_tfidf(rows, "kind", "doc_id", F.col("clean"), english_stop_words())
     return rows, vecs, vocab
 
@@ -216,23 +226,23 @@ def type_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("lang", TOPIC.alias("topic"), "text")
+    docs = documents(spark, sf_dir).select("lang", topic().alias("topic"), "text")
     return rounded(review.boilerplate(docs, T.distinct_lines(F.col("text")), "lang", "topic", 3, 40), "ratio")
 
 
 def boilerplate_shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("lang", TOPIC.alias("topic"), "text")
+    docs = documents(spark, sf_dir).select("lang", topic().alias("topic"), "text")
     return rounded(review.boilerplate(docs, T.distinct_shingles(F.col("text"), 8), "lang", "topic", 3, 30, "shingle"), "ratio")
 
 
 def topic_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).withColumn("topic", TOPIC).withColumn("prob", F.col("n_chars").cast("double"))
+    docs = documents(spark, sf_dir).withColumn("topic", topic()).withColumn("prob", F.col("n_chars").cast("double"))
     return rounded(review.topic_sizes(docs, "lang", "topic", "doc_id", "prob"), "avg_prob")
 
 
 def doc_family_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("preview", T.preview(F.col("text")))
-    return docs.select("doc_id", T.review_family(T.clean_text(KIND, F.col("preview"), PHRASES), F.col("preview")).alias("family"))
+    return docs.select("doc_id", T.review_family(T.clean_text(kind(), F.col("preview"), PHRASES), F.col("preview")).alias("family"))
 
 
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,12 +11,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where it is unset (tests)."""
+    """The folder of spark.checkpoint.dir; where it is unset, one of our own, in local mode only:
+    executors of a cluster would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             root = current.get()
+        elif not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             root = "file://" + tempfile.mkdtemp(prefix="quern-")
             spark.sparkContext.setCheckpointDir(root)
