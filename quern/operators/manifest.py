@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.config import ManifestConfig
@@ -16,6 +20,7 @@ TEXT_EXTENSIONS = (".txt", ".csv", ".tsv", ".json", ".xml", ".html", ".md", ".rt
 PDF_EXTENSIONS = (".pdf",)
 IMAGE_EXTENSIONS = (".png", ".jpg", ".jpeg", ".tif", ".tiff", ".bmp", ".webp")
 BINARY_EXTENSIONS = (".xls", ".xlsx", ".doc", ".docx", ".eml", ".msg")
+PLAIN_EXTENSIONS = (".txt", ".csv", ".tsv", ".json", ".xml", ".html", ".pdf", ".md")
 SKIPPED_NAMES, SKIPPED_PREFIXES, SKIPPED_FOLDERS = (".DS_Store",), ("._",), ("__MACOSX",)
 
 
@@ -103,3 +108,36 @@ def value_counts(df: DataFrame, columns: list[str], top: int | None = None) -> D
     some = df.dropna(subset=columns) if len(columns) > 1 else df.where(F.col(columns[0]).isNotNull())
     out = some.groupBy(*columns).agg(F.count("*").alias("n"))
     return out.orderBy(F.desc("n"), *columns).limit(top) if top is not None else out
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """One row: how many different values that are not null the column has."""
+    return df.agg(F.count_distinct(column).alias("n_distinct"))
+
+
+def counted(df: DataFrame, name: str = "manifest") -> tuple[DataFrame, Observation]:
+    """``df`` and the counters of a run over it, filled as its rows pass: no job of their own.
+
+    rows, text_rows (with text), empty_rows, ocr_errors (0 without that column), bytes.
+    """
+    told, none = Observation(name), F.lit(False)
+    have = lambda c, test: test if c in df.columns else none
+    size = F.col("size_bytes") if "size_bytes" in df.columns else F.lit(0).cast("long")
+    counters = {
+        "rows": F.count("*"),
+        "text_rows": F.count_if(have("has_text", F.col("has_text"))),
+        "empty_rows": F.count_if(F.col("n_chars") == 0),
+        "ocr_errors": F.count_if(have("ocr_error", F.col("ocr_error") != "")),
+        "bytes": F.coalesce(F.sum(size), F.lit(0)),
+    }
+    return df.observe(told, *[c.alias(n) for n, c in counters.items()]), told
+
+
+@contextmanager
+def timed(timings: dict[str, float], step: str) -> Iterator[None]:
+    """Adds the seconds of a block to ``timings[step]``."""
+    began = time.perf_counter()
+    try:
+        yield
+    finally:
+        timings[step] = timings.get(step, 0.0) + time.perf_counter() - began

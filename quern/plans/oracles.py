@@ -172,14 +172,14 @@ def cleaned(kind: str, text: str, phrases=PHRASES) -> str:
         t = sub(t, pattern, f" __{name}__ ")
     inner = strip("replace(x, chr(65279), '')")
     cut = f"list_transform({lines(t)}, lambda x: {strip(sub(inner, P.NO_BREAK_SPACES, ' ', False))})"
-    for_lines, for_text = T.split_phrases(phrases, True)
-    unwanted = [P.LOOSE_HEADER_LINE, P.FORWARD_LINE, P.BEGIN_FORWARD_LINE, P.SENT_FROM_LINE, P.ON_BEHALF_LINE, T.phrase_pattern(for_lines, True)]
+    for_lines, for_text = T.phrase_patterns(phrases)
+    unwanted = [P.LOOSE_HEADER_LINE, P.FORWARD_LINE, P.BEGIN_FORWARD_LINE, P.SENT_FROM_LINE, P.ON_BEHALF_LINE, for_lines]
     kept = f"list_filter({cut}, lambda x: x <> '' AND NOT ({' OR '.join(found('x', p) for p in unwanted)}))"
     join = lambda xs: f"coalesce(array_to_string({xs}, ' '), '')"
     chat = f"starts_with({kind}, 'chat_') OR contains({kind}, 'ichat')"
     mail = f"starts_with({kind}, 'email_') OR contains({kind}, 'email')"
     whole = f"CASE WHEN {chat} THEN {join(f'list_filter({kept}, lambda x: NOT {_chat_meta("x")})')} WHEN {mail} THEN {sub(join(kept), P.QUOTED_PRINTABLE, ' ')} ELSE {join(kept)} END"
-    return collapse(sub(collapse(whole), "(?m)" + T.phrase_pattern(for_text, True), " "))
+    return collapse(sub(collapse(whole), "(?m)" + for_text, " "))
 
 
 CLEAN = f"SELECT doc_id, lang, kind, topic, text, preview, {cleaned('kind', 'preview')} AS clean FROM (SELECT doc_id, lang, text, {KIND} AS kind, {TOPIC} AS topic, {PREVIEW} AS preview FROM documents)"
