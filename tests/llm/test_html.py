@@ -1,7 +1,9 @@
 """Layout of small pages; every visible word of the test pages comes out."""
 
 import html as entities
+import random
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -33,6 +35,18 @@ PAGES = [
     ("<table><tr><td><table><tr><td>in</td><td>ner</td></tr></table></td><td>o</td></tr></table>", "in | ner | o"),
     ("<p>a</p>\n\n<p>b</p>\n", "a\n\nb"),
     ("<td>lost</td> cell", "lost\ncell"),
+    ("<html><head><title>T</title><p>hello <b>world</b>", "hello world"),
+    ("<head><style>no</style>text<title>no</title>", "text"),
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b></div>", "yes"),
+    ("<div style='display:none'>no<b style='display:block;visibility:visible'>no</b></div><p hidden style='display:block'>yes", "yes"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+    ("<table><tr><td rowspan=2 colspan=2>a b<td>q<tr><td>c<tr><td>1<td>2<td>3</table>", "a b   | q\n  |   | c\n1 | 2 | 3"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a | b\n  | c\n  | d"),
+    ("<table><tr><td>one<br>two<td>x<tr><td>y<td>z<br>w</table>", "one | x\ntwo |\ny   | z\n    | w"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<!-->x<!--->y<!-- a --!>z<!-- b", "xyz"),
+    ("<a href='x>y</a> z <i title=\"q>w", "y z w"),
+    ("a < b <", "a < b <"),
 ]
 
 
@@ -87,6 +101,53 @@ def test_every_visible_word_of_the_test_pages(spark, sf_dir):
     assert lost == 0
 
 
+def _tree(rng, depth, hidden):
+    """(source, visible words in order) of a random tree."""
+    source, words = [], []
+    for _ in range(rng.randint(1, 4)):
+        word = f"w{rng.randrange(10**9)}"
+        gone, veiled = hidden
+        kind = rng.choice(("text", "div", "p", "span", "ul", "table", "none", "veil", "unveil", "script", "section"))
+        if kind == "text" or depth == 0:
+            source.append(f" {word} ")
+            words += [word] * (not gone and not veiled)
+            continue
+        if kind == "script":
+            source.append(f"<script>if (a<b) '<p>{word}'</script>")
+            continue
+        inside = {"none": (True, veiled), "veil": (gone, True), "unveil": (gone, False)}.get(kind, hidden)
+        body, own = _tree(rng, depth - 1, inside)
+        words += own
+        if kind == "p":  # a paragraph holds no blocks
+            body, extra = f"{word}", [word] * (not gone and not veiled)
+            words = words[: len(words) - len(own)] + extra
+        shapes = {
+            "ul": "<ul><li>{}</ul>", "table": "<table><tr><td>{}</table>", "none": "<div style='display:none'>{}</div>",
+            "veil": "<span style='visibility: hidden'>{}</span>", "unveil": "<div style='VISIBILITY:visible !important'>{}</div>",
+        }
+        source.append(shapes.get(kind, f"<{kind} class='a>b'>{{}}</{kind}>").format(body))
+    return "".join(source), words
+
+
+def test_words_of_random_trees_come_in_order():
+    rng = random.Random(7)
+    for _ in range(1500):
+        source, words = _tree(rng, 4, (False, False))
+        assert re.findall(r"w\d+", render(source)[1]) == words, source
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<div>a", "<p>", "<li>", "<ul><li>a", "<blockquote>a", "<table><tr><td>a", "<td rowspan=9>x", "<td colspan=900>x", "</script ", "<a<", "<dd></dd>", "<x a='", "<a x=\">\" "])
+def test_broken_and_deep_pages_take_linear_time(unit):
+    """A page four times as long takes about four times as long, not sixteen."""
+    took = []
+    for size in (40_000, 160_000):
+        began = time.process_time()
+        out = render("<dl>" + "<div>" * (size // 20) + unit * (size // len(unit)))[1]
+        took.append(time.process_time() - began)
+        assert len(out) < 40 * size
+    assert took[1] < 9 * took[0] + 0.3
+
+
 def test_columns_and_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None), (2, "u", "<div>" * 3000 + "deep"), (3, "u", "&#0;&#xD800;&#99999999;z")], "page_id long, url string, html string")
     got = extract(df.selectExpr("*", "1 AS text", "2 AS title")).collect()
