@@ -33,7 +33,13 @@ class MinHashConfig:
     rows: int = 5
     seed: int = 7
     block_shingles: int = 1 << 20  # of the sets that are compared at once (8 bytes each)
-    broadcast_ids: int = 4_000_000  # ids (8 bytes) that may be broadcast; beyond, a shuffled join
+    block_sets: int = 2048  # that are compared at once
+    broadcast_ids: int = 1_000_000  # ids (8 bytes) that may be broadcast; beyond, a shuffled join
+
+    @property
+    def least_linked(self) -> int:
+        """Shingles of the smallest set that can link with a different one: n of n + 1 must reach the percentage."""
+        return -(-self.percent // (100 - self.percent)) if self.percent < 100 else 1 << 62
 
     @property
     def least_estimate(self) -> float:
@@ -153,20 +159,21 @@ def _within_buckets(members: DataFrame, comp: DataFrame, sets: DataFrame, config
 
     Buckets of one component need nothing.  In the others, all members outside
     the bucket's largest component are held against each other and against that
-    component, in blocks of bounded bytes: rows grow with members times blocks
-    of the smaller components, not with the pairs.
+    component, in blocks of bounded bytes and numbers of sets: rows grow with
+    members times blocks of the smaller components, not with the pairs.
     """
+    blocks = lambda n, bulk: F.ceil(F.greatest(bulk / config.block_shingles, n / config.block_sets))
     at = members.join(comp, members.doc == comp.node, "left").select("key", "doc", "n_shingles", F.coalesce("component", "doc").alias("comp"))
     parts = at.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("bulk"))
     open_buckets = (
         parts.groupBy("key")
-        .agg(F.count("*").alias("comps"), F.max(F.struct("n", "bulk", "comp")).alias("top"), F.sum("bulk").alias("bulk"))
+        .agg(F.count("*").alias("comps"), F.max(F.struct("n", "bulk", "comp")).alias("top"), F.sum("n").alias("n"), F.sum("bulk").alias("bulk"))
         .where("comps > 1")
         .select(
             F.col("key").alias("k"),
             F.col("top.comp").alias("main"),
-            F.ceil(F.col("top.bulk") / config.block_shingles).alias("main_blocks"),
-            F.ceil((F.col("bulk") - F.col("top.bulk")) / config.block_shingles).alias("rest_blocks"),
+            blocks(F.col("top.n"), F.col("top.bulk")).alias("main_blocks"),
+            blocks(F.col("n") - F.col("top.n"), F.col("bulk") - F.col("top.bulk")).alias("rest_blocks"),
         )
     )
     own = F.pmod(F.xxhash64("doc"), F.when(F.col("comp") == F.col("main"), F.col("main_blocks")).otherwise(F.col("rest_blocks")))
@@ -197,9 +204,10 @@ def near_duplicates(docs: DataFrame, config: MinHashConfig = MinHashConfig(), id
     * equal sets: linked, whatever their number; ties go to the least id.
     * repeated rows: each gets the same result; rows that share an id count as
       one document.  A null id keeps n_shingles, and has null component and kept.
+    * very long texts: the whole set counts, 8 bytes a shingle in one task.
     * an empty table gives no rows; further columns are ignored.
 
-    Missed links: with 28 bands of 5 minima a pair at 0.80 fails to become a
+    Sets are compared by 64-bit hashes of their shingles.  Missed links: with 28 bands of 5 minima a pair at 0.80 fails to become a
     candidate with probability 1.5e-5, at 0.85 with 1e-7.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -210,7 +218,8 @@ def near_duplicates(docs: DataFrame, config: MinHashConfig = MinHashConfig(), id
     reps = some.join(classes, ["d1", "d2"]).where("doc_id = rep").groupBy(F.col("rep").alias("doc"), "d1", "d2").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     placed = materialize(reps.select("doc", "n_shingles", "sig", "bands"), "representatives")
 
-    keyed = placed.select("doc", "n_shingles", F.explode("bands").alias("key"))
+    # sets too small to link with any but their equals have their class already
+    keyed = placed.where(F.col("n_shingles") >= config.least_linked).select("doc", "n_shingles", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("lead"), F.bit_xor(F.xxhash64("doc")).alias("members")).where("n > 1")
     # bands often hold the same documents: one bucket for each set of members is enough
     buckets = buckets.groupBy("n", "lead", "members").agg(F.min("key").alias("k")).select("k", "lead")

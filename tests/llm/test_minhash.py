@@ -72,6 +72,17 @@ def test_links_beside_the_leader_are_found(spark):
     assert got == brute(data, 3, 85)
 
 
+def test_small_blocks_lose_no_link(spark):
+    """Many sets in one open bucket, compared a few at a time; sets too small to link."""
+    base = [f"t{i}" for i in range(60)]
+    data = [(i, " ".join([*base[:-3], f"a{i}", f"b{i % 9}", f"c{i % 4}"])) for i in range(60)]
+    data += [(100 + i, f"{i % 5} b c d e f g"[: 4 + 2 * (i % 6)]) for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for config in (MinHashConfig(shingle_words=3, percent=95, block_sets=7), MinHashConfig(shingle_words=3, percent=85, block_sets=3, block_shingles=200), MinHashConfig(shingle_words=1, percent=80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, config).collect()}
+        assert got == brute(data, config.shingle_words, config.percent)
+
+
 def test_empty_table(spark):
     assert near_duplicates(empty(spark), OP1).count() == 0
     assert deduplicated(empty(spark)).count() == 0
