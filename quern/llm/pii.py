@@ -3,8 +3,9 @@
 Every text is scanned for the four base kinds.  The words before a found entity
 make a lexical pattern.  Other tokens that look like identifiers are candidates.
 Patterns that several seeds share are counted in all texts, and those that mostly
-stand before other words are dropped.  Spark then scores the graph of patterns and instances in turns: a pattern is as
-good as its instances, an instance as good as its best pattern; seeds stay at 1.
+stand before other words are dropped.  Spark then scores the graph of patterns and
+instances in turns: a pattern is as good as its instances, an instance as good as
+its best pattern; seeds stay at 1.
 What trusted patterns hold counts as support for further patterns, until nothing is added.
 Candidates in the contexts of patterns that end up trusted are reported too.
 """
@@ -100,12 +101,20 @@ def _pattern(text: str, start: int, words: int) -> str | None:
     """The words before ``start`` and what opens there, lower-cased (A-Z); None where there are fewer or none ends there."""
     while start > 0 and text[start - 1] in _OPEN:
         start -= 1
-    low = max(0, start - 80 * words)
-    before = text[low:start].encode()
-    if not before or before[-1] not in b" \t\n\r\x0b\x0c":
+    if start == 0 or text[start - 1] not in _SPACE:
         return None
-    found = before.lower().split()
-    return b" ".join(found[-words:]).decode() if len(found) > words or low == 0 and len(found) == words else None
+    found, end = [], start
+    for _ in range(words):
+        while end > 0 and text[end - 1] in _SPACE:
+            end -= 1
+        begin = end
+        while begin > 0 and text[begin - 1] not in _SPACE:
+            begin -= 1
+        if begin == end:
+            return None
+        found.append(text[begin:end])
+        end = begin
+    return " ".join(reversed(found)).encode().lower().decode()
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
@@ -243,6 +252,8 @@ def find_personal_data(docs: DataFrame, config: PiiConfig = PiiConfig(), id_col:
 
     * null or empty text: no spans.  Repeated rows and null ids are kept as they
       are; an empty table gives no rows; further columns are ignored.
+    * very long texts, words and identifiers count whole; of overlapping kinds each is
+      reported, and equal spans of repeated rows once for each row.
     * without seeds no pattern is trusted, and only base kinds are found.
     """
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

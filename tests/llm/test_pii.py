@@ -87,6 +87,16 @@ def test_found_identifiers_lead_to_further_contexts(spark):
     assert not any(got[7200 + i] for i in range(10))
 
 
+def test_contexts_of_any_length(spark):
+    """Words and gaps before an identifier may be as long as they like."""
+    rng = random.Random(10)
+    word, gap = "z" * 500, " " * 300
+    data = [(i, f"{prose(rng, 9)} {word}{gap}REF\n{x} etc", "en", "a", 1) for i, x in enumerate([f"u{i}@m{i}.org" for i in range(12)] + [f"QX-{i}8841-Z" for i in range(5)])]
+    text = {r[0]: r[1] for r in data}
+    got = {r.doc_id: [text[r.doc_id][s.start : s.end] for s in r.spans if KINDS[s.kind] == "context"] for r in find_personal_data(table(spark, data)).collect()}
+    assert [got[12 + i] for i in range(5)] == [[f"QX-{i}8841-Z"] for i in range(5)]
+
+
 def test_base_spans_equal_plain_search(spark):
     data = planted()
     got = find_personal_data(table(spark, data), PiiConfig(block_patterns=2)).collect()
