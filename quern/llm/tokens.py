@@ -39,6 +39,7 @@ class TokenConfig:
     cache_words: int = 400_000  # of a generation of the cache; a worker keeps two
     cache_bytes: int = 64 << 20  # of a generation's words and ids
     piece_bytes: int = 1 << 20  # of a text that are split into words at once
+    shard_bytes: int = 256 << 20  # of texts in a shard, about
 
 
 class Encoder:
@@ -168,7 +169,7 @@ def encoder(config: TokenConfig) -> Encoder:
     return Encoder(config)
 
 
-_MANIFEST = "path string, size long, first_id long, first_hash long, documents long, ids long"
+_MANIFEST = "path string, size long, first_id long, first_hash long, first_tie long, documents long, ids long"
 
 
 def _write(config: TokenConfig, folder: str):
@@ -180,32 +181,46 @@ def _write(config: TokenConfig, folder: str):
                 encode = encoder(config)
                 store.create_dir(root, recursive=True)
                 file = store.open_output_stream(f"{root}/{name}")
-                writer, first = sstable.Writer(file, encode.width), (batch.column(0)[0].as_py(), batch.column(1)[0].as_py())
-            for doc_id, text in zip(batch.column(0), batch.column(2).cast(pa.binary()), strict=True):
+                writer, first = sstable.Writer(file, encode.width), tuple(batch.column(i)[0].as_py() for i in range(3))
+            for doc_id, text in zip(batch.column(0), batch.column(3).cast(pa.binary()), strict=True):
                 writer.add(doc_id.as_py(), encode(text.as_py()))
         if writer is not None:
             writer.close()
             file.close()
             size = store.get_file_info(f"{root}/{name}").size
-            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "size": [size], "first_id": pa.array([first[0]], pa.int64()), "first_hash": [first[1]], "documents": [len(writer.keys)], "ids": [writer.ids]})
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "size": [size], "first_id": pa.array([first[0]], pa.int64()), "first_hash": [first[1]], "first_tie": [first[2]], "documents": [len(writer.keys)], "ids": [writer.ids]})
 
     return run
 
 
-def write_shards(docs: DataFrame, config: TokenConfig = TokenConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_shards(docs: DataFrame, config: TokenConfig = TokenConfig(), id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Writes the ids of all rows; returns the manifest, one row for each shard:
-    path, size, first_id, first_hash, documents, ids, start (ids in the shards before).
+    path, size, first_id, first_hash, first_tie, documents, ids, start (ids in the shards before).
 
-    Order: by identifier, nulls first; rows that share it by a hash of the text.
-    A null text is empty and has the end id alone.  Repeated rows are each
-    written; an empty table gives no shard; further columns are ignored.
+    ``path``: a folder of a file system that pyarrow knows; shards and the table
+    ``manifest`` stay there, and only shards that it names count.  Without one they
+    are intermediate and go when the application ends.
+
+    Order: by identifier, nulls first; rows that share it by a hash of the text, then
+    by their place in the input, so that not even equal rows must lie in one shard.
+    A null text is empty and has the end id alone.  Very long texts are one entry
+    each.  Repeated rows are each written; an empty table gives no shard; further
+    columns are ignored.
     """
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    rows = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash")
-    manifest = materialize(rows.mapInArrow(_write(config, new_dir(docs.sparkSession, "tokens")), _MANIFEST), "manifest")
-    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_hash")  # one row a shard
-    return manifest.withColumn("start", F.coalesce(F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("tie"), text.alias("text"))
+    order = ("doc_id", "hash", "tie")
+    shards = -(-(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // config.shard_bytes)
+    rows = rows.repartitionByRange(shards, *order) if shards > int(spark.conf.get("spark.sql.shuffle.partitions")) else rows.repartitionByRange(*order)
+    written = rows.sortWithinPartitions(*order).mapInArrow(_write(config, path.rstrip("/") if path else new_dir(spark, "tokens")), _MANIFEST)
+    if path:
+        written.write.parquet(f"{path.rstrip('/')}/manifest")
+        manifest = spark.read.schema(_MANIFEST).parquet(f"{path.rstrip('/')}/manifest")
+    else:
+        manifest = materialize(written, "manifest")
+    first = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_hash", "first_tie")  # one row a shard
+    return manifest.withColumn("start", F.coalesce(F.sum("ids").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

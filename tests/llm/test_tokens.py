@@ -45,6 +45,24 @@ def test_shards_read_back(spark):
         at += r.n_tokens
 
 
+def test_shards_stay_where_they_are_told(spark, tmp_path):
+    """Files and manifest in a given folder; as many shards as the bytes ask for, equal rows in several."""
+    data = rows(n=40) + [(5, "one and the same row " * 30, "en", "a", 1)] * 300
+    path = f"file://{tmp_path}/out"
+    write_shards(table(spark, data).repartition(3), TokenConfig(shard_bytes=20_000), path=path)
+    manifest = spark.read.parquet(f"{path}/manifest")
+    files = {f"{path}/{p.name}" for p in (tmp_path / "out").glob("*.sst")}
+    named = manifest.collect()
+    assert {r.path for r in named} == files and len(files) > 8 and sum(r.documents for r in named) == len(data)
+    assert sum(r.first_id == 5 for r in named) > 1
+    ordered = sorted(named, key=lambda r: (r.first_id is not None, r.first_id or 0, r.first_hash, r.first_tie))
+    got = []
+    for r in ordered:
+        with open(r.path.removeprefix("file://"), "rb") as file:
+            got += [k for k, _, _ in sstable.Reader(file, r.size)]
+    assert got == sorted((r[0] for r in data), key=lambda x: (x is not None, x))
+
+
 def test_lookup_by_identifier(spark):
     data = rows(n=200)
     want = {}
