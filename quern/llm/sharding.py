@@ -2,18 +2,19 @@
 
 Pass 1 scatters whole records by a seeded hash into buckets that fit in memory;
 pass 2 takes each bucket, shuffles it (Spark's ``shuffle`` is a Fisher-Yates
-shuffle) and lays the buckets end to end.  The law is ``rows``: shard k takes the
+shuffle), lays the buckets end to end and writes them.  The law is ``rows``: shard k takes the
 places from k*n/s on, so counts differ by at most one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.store import materialize, small, table
+from quern.store import materialize, new_dir, small, table
 
 
 @dataclass(frozen=True)
@@ -24,26 +25,31 @@ class ShardConfig:
     record_bytes: int = 16  # counted for a record besides its text
 
 
-def _spread(staged: DataFrame, filled: DataFrame, buckets: int, config: ShardConfig) -> tuple[DataFrame, int] | None:
-    """``staged`` with the rows of overfull buckets dealt over more of them; None if none is.
+def _hashed(docs: DataFrame, config: ShardConfig) -> list[Column]:
+    """Two 64-bit hashes of a whole row, that equal rows share."""
+    whole = [F.to_json(c) if "map<" in kind else F.col(c) for c, kind in docs.dtypes]
+    return [F.xxhash64(F.lit(config.seed + i), *whole).alias(f"h{i}") for i in (0, 1)]
 
-    Only rows that are equal in id and text, or a text larger than a bucket, overfill
-    one.  Which row of it goes where hangs on places in the input, so the result is
-    written once.
-    """
-    over = filled.where(F.col("bytes") > 4 * config.bucket_bytes).withColumn("parts", F.ceil(F.col("bytes") / config.bucket_bytes))
-    n, more = over.agg(F.count("*"), F.sum("parts")).first()
-    if not n:
-        return None
-    base = F.lit(buckets) + F.sum("parts").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("parts")
-    over = over.select(F.col("b").alias("over"), base.alias("base"), "parts")
-    dealt = staged.withColumn("place", F.monotonically_increasing_id()).join(small(over, n, 1_000_000), F.col("bucket") == F.col("over"), "left")
-    part = F.pmod(F.xxhash64(F.lit(config.seed), "place"), F.col("parts"))
-    return materialize(dealt.select(F.coalesce(F.col("base") + part, "bucket").alias("bucket"), "bytes", "record"), "spread"), buckets + more
 
+def _numbered(docs: DataFrame, size: Column, config: ShardConfig) -> DataFrame:
+    """h0, h1, copy, bytes, row: equal rows are numbered from 0, so that each has a place of its own.
 
-def _fill(staged: DataFrame) -> DataFrame:
-    return materialize(staged.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "filled")
+    Equal rows are counted, not gathered: their counts are aggregated before they are
+    shuffled, and one row stands for all until it is repeated.
+    """
+    own = docs.select(*_hashed(docs, config), size.alias("bytes"), F.struct(*docs.columns).alias("row"))
+    counts = own.groupBy(F.col("h0").alias("r0"), F.col("h1").alias("r1")).agg(F.count("*").alias("n")).where("n > 1")
+    counts = materialize(counts, "repeated")
+    n = counts.count()
+    single = F.lit(0).alias("copy")
+    if not n:
+        return own.select("h0", "h1", single, "bytes", "row")
+    repeated = small(counts, n, 1_000_000)
+    met = (own.h0 == repeated.r0) & (own.h1 == repeated.r1)
+    alone = own.join(repeated, met, "left_anti").select("h0", "h1", single, "bytes", "row")
+    one = own.join(repeated, met, "left_semi").groupBy("h0", "h1").agg(F.count("*").alias("n"), F.first("bytes").alias("bytes"), F.first("row").alias("row"))
+    copies = F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("copy")
+    return alone.unionAll(one.select("h0", "h1", copies, "bytes", "row"))
 
 
 def shards(docs: DataFrame, config: ShardConfig = ShardConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,23 +57,20 @@ def shards(docs: DataFrame, config: ShardConfig = ShardConfig(), id_col: str = "
 
     Columns of these names in ``docs`` are replaced.  Each row is placed once,
     repeated rows and null ids or texts included; an empty table gives no rows.
-    Rows go to buckets by a hash of id and text, so neither a hot id nor a large
-    group of equal texts fills one bucket; rows equal in both share one, and are
-    dealt over several if it overflows.  The same rows get the same places,
-    however they are partitioned, but for those of an overfull bucket.
+    Rows go to buckets by a hash of the whole row and, among equal rows, of the copy's
+    number, so neither a hot id nor a large group of equal texts or rows fills one
+    bucket.  The same rows get the same places, however they are partitioned.  A text
+    larger than a bucket is whole in one.
     """
     docs = docs.drop("shard", "slot")
-    text = docs[text_col].cast("string")
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + config.record_bytes
+    size = F.coalesce(F.octet_length(docs[text_col].cast("string")), F.lit(0)).cast("long") + config.record_bytes
     total, rows = docs.agg(F.sum(size), F.count("*")).first()
     buckets = max(1, -(-(total or 0) // config.bucket_bytes))
-    scatter = F.xxhash64(F.lit(config.seed), docs[id_col], text)
-    record = F.struct(scatter.alias("h"), F.struct(*docs.columns).alias("row"))
-    staged = docs.select(F.pmod(scatter, F.lit(buckets)).alias("bucket"), size.alias("bytes"), record.alias("record"))
-    filled = _fill(staged)
-    if dealt := _spread(staged, filled, buckets, config):
-        staged, buckets = dealt
-        filled = _fill(staged)
+    numbered = _numbered(docs, size, config)
+    scatter = F.xxhash64(F.lit(config.seed), "h0", "copy")
+    record = F.struct(scatter.alias("h"), "h0", "h1", "copy", "row")
+    staged = numbered.select(F.pmod(scatter, F.lit(buckets)).alias("bucket"), record.alias("record"))
+    filled = materialize(staged.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n")), "filled")
 
     # rows before each bucket: sums in runs of 1024 buckets, then over the runs
     counts = filled.select("b", "n", F.floor(F.col("b") / 1024).alias("run"))
@@ -81,7 +84,9 @@ def shards(docs: DataFrame, config: ShardConfig = ShardConfig(), id_col: str = "
     scattered = staged.select(F.col("bucket").cast("int").alias("bucket"), "record").repartitionById(buckets, "bucket")
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
     # one order whatever order the records came in, then the shuffle
-    ordered = F.array_sort("records", lambda x, y: F.when(x["h"] < y["h"], -1).when(x["h"] > y["h"], 1).otherwise(0))
+    parts = ("h", "h0", "h1", "copy")
+    before = lambda x, y, c, rest: F.when(x[c] < y[c], -1).when(x[c] > y[c], 1).otherwise(rest)
+    ordered = F.array_sort("records", lambda x, y: reduce(lambda rest, c: before(x, y, c, rest), reversed(parts), F.lit(0)))
     shuffled = gathered.select("bucket", F.shuffle(ordered, seed=F.lit(config.seed)).alias("records"))
     placed = shuffled.join(small(firsts, buckets, 1_000_000), F.col("bucket") == F.col("b")).select("first", F.posexplode("records").alias("at", "record"))
     rank = F.col("first") + F.col("at")
@@ -90,13 +95,25 @@ def shards(docs: DataFrame, config: ShardConfig = ShardConfig(), id_col: str = "
     return placed.withColumn("shard", shard).select("record.row.*", F.col("shard").cast("int").alias("shard"), (rank - start).alias("slot"))
 
 
+def write_buckets(docs: DataFrame, path: str, config: ShardConfig = ShardConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Both passes: each task shuffles its bucket and writes it to the folders ``shard=k`` of
+    ``path``; what is read back.
+
+    A shard's files, in the order of their names, hold its rows in the order of their
+    slots; no shard passes through one task, so shards may be of any size.
+    """
+    placed = shards(docs, config, id_col, text_col)
+    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(placed.schema).parquet(path)
+
+
 def write_shards(placed: DataFrame, path: str) -> None:
-    """One folder for each shard, rows in the order of their slots."""
+    """One folder and one file for each shard, rows in the order of their slots: for shards that a task can sort."""
     placed.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = ShardConfig()
     text = F.coalesce("text", F.lit(""))
-    placed = shards(table(spark, sf_dir, "documents"), config)
-    return placed.select("doc_id", (F.octet_length(text).cast("long") + config.record_bytes).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    read = write_buckets(table(spark, sf_dir, "documents"), new_dir(spark, "shards"), config)
+    return read.select("doc_id", (F.octet_length(text).cast("long") + config.record_bytes).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 from llm_cases import empty, rows, table
-from quern.llm.sharding import ShardConfig, op10_sharding, shards, write_shards
+from quern.llm.sharding import ShardConfig, op10_sharding, shards, write_buckets, write_shards
 
 
 def check(got, n, k):
@@ -51,6 +51,34 @@ def test_a_row_repeated_without_end_is_dealt_out(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter(r[:2] for r in data)
 
 
+def test_copies_lie_apart_and_stay_where_they_are(spark):
+    """Equal rows are scattered like others, and reruns agree however they are partitioned."""
+    data = rows(n=20) + [(1, "the same row again", "en", "a", 1)] * 500
+    config = ShardConfig(bucket_bytes=4000)
+    place = lambda df: sorted((r.doc_id or 0, r.text or "", r.shard, r.slot) for r in df.collect())
+    got = place(shards(table(spark, data).repartition(5), config))
+    assert got == place(shards(table(spark, data[::-1]).coalesce(2), config))
+    own = Counter(r[2] for r in got if r[:2] == (1, "the same row again"))
+    whole = Counter(r[2] for r in got)
+    assert len(own) == 40 and all(own[k] > whole[k] / 2 for k in own)
+
+
+def test_written_buckets_read_back(spark, tmp_path):
+    """Files of a shard by name hold its slots in order; rows that differ outside id and text stay apart."""
+    data = rows() + [(1, "text", "en", str(i), i) for i in range(30)]
+    config = ShardConfig(shards=3, bucket_bytes=4000)
+    read = write_buckets(table(spark, data), str(tmp_path / "out"), config)
+    check(read.collect(), len(data), 3)
+    assert Counter((r.doc_id, r.text, r.source) for r in read.collect()) == Counter((r[0], r[1], r[3]) for r in data)
+    assert sorted(map(repr, read.collect())) == sorted(map(repr, shards(table(spark, data[::-1]), config).select(read.columns).collect()))
+    for k in range(3):
+        files = sorted((tmp_path / f"out/shard={k}").glob("part-*.parquet"))
+        assert len(files) > 1
+        slots = [r.slot for f in files for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+        assert slots == list(range(len(slots)))
+    assert write_buckets(empty(spark), str(tmp_path / "none"), config).count() == 0
+
+
 def test_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = op10_sharding(spark, sf_dir).collect()
