@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.config import CharGramConfig, TfidfConfig
 from quern.functions.accents import strip_accents
 from quern.functions.rows import exploded
+from quern.store import materialize
 
 _STRINGS = "array<string>"
 
@@ -62,22 +63,24 @@ def vectors(counts: DataFrame, vocab: DataFrame, group: str, id_col: str, sublin
     tf = 1 + F.log("tf") if sublinear else F.col("tf").cast("double")
     own = vocab.select(F.col(group).alias("__g"), F.col("term").alias("__t"), "idf")
     met = counts.join(own, F.col(group).eqNullSafe(F.col("__g")) & (F.col("term") == F.col("__t")))
-    weighted = met.select(group, id_col, F.struct("term", (tf * F.col("idf")).alias("weight")).alias("x"))
-    out = weighted.groupBy(group, id_col).agg(F.sort_array(F.collect_list("x")).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
-    return out.withColumn("norm", norm).select(group, id_col, F.transform("v", lambda x: F.struct(x["term"].alias("term"), (x["weight"] / F.col("norm")).alias("weight"))).alias("vector"))
+    weight = tf * F.col("idf")
+    weighted = met.select(group, id_col, F.struct("term", weight.alias("weight")).alias("x"), (weight * weight).alias("square"))
+    # the norm is summed beside the list: computed from it, it would be computed again for each element
+    out = weighted.groupBy(group, id_col).agg(F.sort_array(F.collect_list("x")).alias("v"), F.sum("square").alias("square"))
+    norm = F.sqrt("square")
+    return out.select(group, id_col, F.transform("v", lambda x: F.struct(x["term"].alias("term"), (x["weight"] / norm).alias("weight"))).alias("vector"))
 
 
 def word_tfidf(df: DataFrame, group: str, id_col: str, text: Column, stop: Iterable[str] = (), config: TfidfConfig = TfidfConfig()) -> tuple[DataFrame, DataFrame]:
     """(vectors, vocabulary)."""
-    counts = term_counts(word_terms(df, group, id_col, text, stop, config), group, id_col)
+    counts = materialize(term_counts(word_terms(df, group, id_col, text, stop, config), group, id_col), "counts")  # read twice
     sizes = df.groupBy(group).agg(F.count("*").alias("n"))
     vocab = vocabulary(counts, sizes, group, config.min_df, config.max_df, config.max_features)
     return vectors(counts, vocab, group, id_col, config.sublinear), vocab
 
 
 def char_tfidf(df: DataFrame, group: str, id_col: str, text: Column, config: CharGramConfig = CharGramConfig()) -> tuple[DataFrame, DataFrame]:
-    counts = term_counts(char_terms(df, group, id_col, text, config), group, id_col)
+    counts = materialize(term_counts(char_terms(df, group, id_col, text, config), group, id_col), "counts")  # read twice
     sizes = df.groupBy(group).agg(F.count("*").alias("n"))
     vocab = vocabulary(counts, sizes, group, config.min_df, 1.0, config.max_features)
     return vectors(counts, vocab, group, id_col, False), vocab

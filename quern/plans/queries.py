@@ -263,14 +263,21 @@ def hdbscan_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), F.col("label").alias("cluster"), "prob")
 
 
+def _every_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """kind, doc_id, vector of all documents: empty where no term of the vocabulary is left."""
+    rows, vecs, _ = _word_tfidf(spark, sf_dir)
+    own = vecs.select(F.col("doc_id").alias("__d"), "vector")  # a document has one kind
+    empty = F.array().cast("array<struct<term:string,weight:double>>")
+    return rows.join(own, F.col("doc_id") == F.col("__d"), "left").select("kind", "doc_id", F.coalesce("vector", empty).alias("vector"))
+
+
 def svd_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, vecs, _ = _word_tfidf(spark, sf_dir)
-    return C.svd_vectors(vecs, "kind", "doc_id", ClusterConfig().svd_components).select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
+    found = C.svd_vectors(_every_vector(spark, sf_dir), "kind", "doc_id", ClusterConfig().svd_components)
+    return found.select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
 
 
 def umap_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, vecs, _ = _word_tfidf(spark, sf_dir)
-    found = C.cluster_vectors(vecs, "kind", "doc_id", ClusterConfig())
+    found = C.cluster_vectors(_every_vector(spark, sf_dir), "kind", "doc_id", ClusterConfig())
     return found.select(F.col("group").alias("kind"), F.col("id").alias("doc_id"), "coords")
 
 
