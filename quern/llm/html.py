@@ -42,6 +42,7 @@ _SCOPE = _set("html table td th caption template object button")
 _CELLS = _set("td th")
 _PARTS = _set("table tr thead tbody tfoot")
 _INDENTED = _set("li blockquote dd")
+_READ = _set("img input ol td th dialog")  # whose own attributes count
 #: a start tag closes these, as far up as the second set
 _IMPLIED = {
     "p": (_set("p"), _SCOPE),
@@ -305,7 +306,8 @@ class Page:
             if seen:
                 self.blocks[-1].inline.append("\n" if self.blocks[-1].pre else "\x00")
             return
-        attributes = _attributes(rest) if rest and not rest.isspace() else {}
+        low = rest.lower()
+        attributes = _attributes(rest) if name in _READ or "hidden" in low or "style" in low else {}
         style = _style(attributes["style"]) if "style" in attributes else {}
         closed = "hidden" in attributes or name == "dialog" and "open" not in attributes
         gone = parent.gone or name in _UNSEEN or style.get("display", "none" if closed else "") == "none"
