@@ -26,7 +26,7 @@ def _either_case(word: str) -> str:
 _NAMES = "(?:" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + ")"
 _VALUE = "[A-Za-z0-9+/_.=-]+"
 _KEY40 = "[A-Za-z0-9+/]"
-_HOST = "[A-Za-z0-9-]{1,63}(?:\\.[A-Za-z0-9-]{1,63}){1,8}"
+_HOST = "[A-Za-z0-9-]{1,63}(?:\\.[A-Za-z0-9-]{1,63}){1,126}"  # as long as names of hosts can be
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ class Kind:
     least: int
     base: bool
     needs: tuple[str, ...] = ()  # patterns that group 1 must also hold
-    partners: tuple[str, ...] = ()  # a weak kind counts only with one of these in its scope
+    partners: tuple[str, ...] = ()  # a weak kind counts only with one of these in its scope, a weak one only if it counts itself
 
 
 KINDS = (
@@ -68,12 +68,12 @@ def _found(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.pattern), triples)
 
 
-def _with_partners(parts: DataFrame, kind: Kind, scope: int) -> DataFrame:
-    """The weak parts of a kind that have a partner whose start is at most ``scope`` away."""
+def _with_partners(weak: DataFrame, counted: DataFrame, kind: Kind, scope: int) -> DataFrame:
+    """The parts of a weak kind with a partner among ``counted`` whose start is at most ``scope`` away."""
     cell = F.floor(F.col("start") / scope)
-    partners = parts.where(F.col("kind").isin([_NUMBER[p] for p in kind.partners]))
+    partners = counted.where(F.col("kind").isin([_NUMBER[p] for p in kind.partners]))
     cells = partners.groupBy(F.col("rid").alias("r"), cell.alias("cell")).agg(F.min("start").alias("low"), F.max("start").alias("high"))
-    weak = parts.where(F.col("kind") == _NUMBER[kind.name]).withColumn("near", F.explode(F.array(cell - 1, cell, cell + 1)))
+    weak = weak.withColumn("near", F.explode(F.array(cell - 1, cell, cell + 1)))
     met = (weak.rid == cells.r) & (weak.near == cells.cell)
     inside = (F.col("high") >= F.col("start") - scope) & (F.col("low") <= F.col("start") + scope)
     return weak.join(cells, met & inside, "left_semi").drop("near").distinct()
@@ -90,9 +90,10 @@ def find_secrets(docs: DataFrame, config: SecretConfig = SecretConfig(), id_col:
 
     * base kinds (assign, access, hex): leftmost non-overlapping matches; those
       whose value is too short are dropped without a new try.
-    * a string like a secret key counts only with an access identifier or an
-      endpoint in its scope, an endpoint only with an access identifier or an
-      assignment.
+    * an endpoint counts only with an access identifier or an assignment in its scope,
+      a string like a secret key only with an access identifier or an endpoint that counts.
+    * very long texts: the whole text counts.  Ties: spans of different kinds may be
+      equal or overlap, each is reported; a partner exactly ``scope`` away is one.
     * null or empty text: no spans.  Null ids and repeated rows are kept as they are;
       an empty table gives no rows; further columns are ignored.
     """
@@ -104,7 +105,9 @@ def find_secrets(docs: DataFrame, config: SecretConfig = SecretConfig(), id_col:
     end = F.sum(F.col("m.gap").cast("long") + F.col("m.found")).over(Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
     parts = matches.select("rid", "kind", "m", end.alias("end")).where("m.size > 0").select("rid", "kind", (F.col("end") - F.col("m.found")).alias("start"), "end")
     parts = materialize(parts, "parts")
-    spans = reduce(DataFrame.unionAll, [_with_partners(parts, k, config.scope) for k in KINDS if not k.base], parts.where(F.col("kind") < _BASE))
+    spans = parts.where(F.col("kind") < _BASE)
+    for kind in sorted((k for k in KINDS if not k.base), key=lambda k: any(not KINDS[_NUMBER[p]].base for p in k.partners)):
+        spans = spans.unionAll(_with_partners(parts.where(F.col("kind") == _NUMBER[kind.name]), spans, kind, config.scope))
     counted = [F.count_if(F.col("kind") == i).alias(f"n_{k.name}") for i, k in enumerate(KINDS) if k.base]
     by_row = spans.groupBy(F.col("rid").alias("r")).agg(*counted, F.collect_list(F.struct("start", "kind", "end")).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
