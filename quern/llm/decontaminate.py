@@ -194,10 +194,17 @@ def _united(group: pa.Table) -> pa.Table:
     return pa.table(one)
 
 
-def _blocks(items: DataFrame, config: LeakConfig) -> Iterator[tuple[list[str], list[str]]]:
-    """Item texts in blocks of bounded size: all of them at once where they are small."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def _n_blocks(items: DataFrame, config: LeakConfig) -> int:
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // config.block_bytes))
+    return max(1, -(-total // config.block_bytes))
+
+
+def _blocks(items: DataFrame, n: int) -> Iterator[tuple[list[str], list[str]]]:
+    """Item texts in ``n`` blocks by a hash of the ids."""
     for b in range(n):
         block = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)
         rows = block.orderBy("item_id", "text").toArrow()
@@ -205,11 +212,10 @@ def _blocks(items: DataFrame, config: LeakConfig) -> Iterator[tuple[list[str], l
             yield rows["item_id"].to_pylist(), rows["text"].to_pylist()
 
 
-def _indexed(texts: DataFrame, benchmark: DataFrame, config: LeakConfig):
-    """The broadcast windows of each block of items, indexed by the counts in ``texts``."""
+def _indexed(texts: DataFrame, items: DataFrame, n: int, config: LeakConfig):
+    """The broadcast windows of each of ``n`` blocks of items, indexed by the counts in ``texts``."""
     spark = texts.sparkSession
-    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    for ids, items_texts in _blocks(items, config):
+    for ids, items_texts in _blocks(items, n):
         windows = Windows(ids, items_texts, config)
         counts = np.zeros(len(windows.vocabulary), np.int64)
         if len(counts):
@@ -245,11 +251,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakC
     * repeated rows and null ids of documents are kept; an empty table gives no
       rows, an empty benchmark no hits; further columns are ignored.
 
+    * very long texts and items: all of their words count, each word 8 bytes in one task.
+
     An index holds 16 MB of item texts; a larger benchmark is worked through in
-    such blocks.
+    such blocks.  The rows are numbered in a written table then, so that hits of all
+    passes meet at the same row.
     """
+    items = _items(benchmark)
+    n = _n_blocks(items, config)
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = [read.mapInArrow(_hits(shared), _HITS) for shared in _indexed(docs.select(F.col(text_col).cast("string").alias("text")), benchmark, config)]
+    if n > 1:
+        read = materialize(read, "numbered")
+    found = [read.mapInArrow(_hits(shared), _HITS) for shared in _indexed(read.select("text"), items, n, config)]
     if len(found) == 1:
         return found[0].drop("row")
     out = found[0]
@@ -269,8 +282,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig()) -> DataFrame:
-    """The pipeline's stage: documents that hold a window of an item go, each row by its own text."""
-    out, schema = docs, docs.schema
-    for shared in _indexed(docs.select(F.col("text").cast("string").alias("text")), benchmark, config):
+    """The pipeline's stage: documents that hold a window of an item go, each row by its own text.
+
+    Rows with a null or empty text or a null id stay unless their own text is hit; very long texts
+    count whole; an empty table stays empty, and an empty benchmark removes nothing.
+    """
+    out, schema, items = docs, docs.schema, _items(benchmark)
+    for shared in _indexed(docs.select(F.col("text").cast("string").alias("text")), items, _n_blocks(items, config), config):
         out = out.mapInArrow(_clean(shared, schema.names.index("text")), schema)
     return out
