@@ -108,6 +108,8 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id"
 
     * null or empty text: size 0; it takes no words.  A null source is a source of
       its own, the last.  Null ids and repeated rows are kept, each rounded by itself.
+    * very long texts: all words count.  Ties: equal rows are rounded one by one, in an order
+      that their equality makes indifferent.
     * all sizes 0: targets 0.  An empty table gives no rows; further columns are ignored.
     * the same rows give the same result, however they are partitioned.
 

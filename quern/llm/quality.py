@@ -217,6 +217,8 @@ def judge(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityCon
     * labels: null ids and values other than 0 and 1 are ignored; of several for a
       document the worst counts.  Without two classes and 20 labelled documents,
       good is 1 and the rules alone decide.
+    * very long texts: rules, fit and scores take the whole text.  Ties: a probability
+      equal to ``least_good`` keeps a document, a share equal to ``repeat_percent`` does not fail it.
     * repeated rows and null ids are kept; an empty table gives no rows; further
       columns are ignored.
     """
@@ -233,7 +235,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
-    """The pipeline's stage: documents that the rules or the classifier reject go."""
+    """The pipeline's stage: documents that the rules or the classifier reject go.
+
+    Each row is judged by its own whole text, as ``judge`` does; an empty table stays empty.
+    """
     model = train(docs, labels, config)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     score = _score(shared, config)
