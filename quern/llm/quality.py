@@ -9,8 +9,11 @@ applied to Arrow batches.
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -64,13 +67,22 @@ def _grams(raw: np.ndarray, bounds: np.ndarray, h: np.ndarray, first: np.ndarray
         yield slots, K.window_starts(bounds, k, len(raw)), np.minimum(bounds, len(slots))
 
 
+_FEATURES = "doc_id long, good int, idx binary, val binary"
+#: bytes of features that go on together, and entries of features that the fit holds at once
+_BATCH_BYTES, _BLOCK = 8 << 20, 1 << 20
+
+
+def _slot_type(config: QualityConfig) -> type:
+    return np.uint16 if config.bits < 16 else np.int32
+
+
 def _features(config: QualityConfig):
     """Sparse features of labelled documents."""
 
     def run(batches):
         for batch in batches:
-            index, value = [], []
-            for text in batch.column(2).cast(pa.binary()):
+            index, value, size, begin = [], [], 0, 0
+            for i, text in enumerate(batch.column(2).cast(pa.binary())):
                 raw = np.frombuffer(text.as_buffer(), np.uint8)
                 bounds = np.array([0, len(raw)])
                 starts, ends, first = K.words(raw, bounds, K.NON_SPACE)
@@ -82,9 +94,13 @@ def _features(config: QualityConfig):
                     if len(slots):
                         counts += np.bincount(slots, minlength=2 << config.bits).astype(np.float32) / len(slots)
                 at = np.flatnonzero(counts)
-                index.append(at.astype(np.int32).tobytes())
+                index.append(at.astype(_slot_type(config)).tobytes())
                 value.append(counts[at].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["doc_id", "good", "idx", "val"])
+                size += len(index[-1]) + len(value[-1])
+                if size >= _BATCH_BYTES or i == batch.num_rows - 1:
+                    ids, good = (batch.column(c).slice(begin, len(index)) for c in (0, 1))
+                    yield pa.RecordBatch.from_arrays([ids, good, pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["doc_id", "good", "idx", "val"])
+                    index, value, size, begin = [], [], 0, i + 1
 
     return run
 
@@ -121,40 +137,100 @@ def _calibrate(score: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(w[0] / scale), float(w[1])
 
 
+def _row_sums(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums, some = np.zeros(len(sizes)), sizes > 0
+    if len(x):
+        sums[some] = np.add.reduceat(x, (np.cumsum(sizes) - sizes)[some])
+    return sums
+
+
+class _Spilled:
+    """Features of the labelled documents in a file of the task's own, in the order of their identifiers."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], file: BinaryIO, config: QualityConfig):
+        self.file, self.slot = file, np.dtype(_slot_type(config))
+        found, at = [], 0
+        for batch in batches:
+            for doc_id, good, idx, val in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                idx, val = idx.as_buffer(), val.as_buffer()
+                file.write(idx)
+                file.write(val)
+                found.append((doc_id, good, at, len(val) // 4))
+                at += len(idx) + len(val)
+        file.flush()
+        found.sort()
+        self.good = np.array([x[1] for x in found], np.float64)
+        self.at, self.n = [x[2] for x in found], [x[3] for x in found]
+
+    def blocks(self, docs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``docs`` in runs of about _BLOCK entries: the run, how many entries each has, and the entries' slots and values."""
+        ends = np.cumsum([0] + [self.n[i] for i in docs])
+        a = 0
+        while a < len(docs):
+            b = min(len(docs), max(a + 1, int(np.searchsorted(ends, ends[a] + _BLOCK, side="right")) - 1))
+            run, each = docs[a:b], self.slot.itemsize + 4
+            raw = [os.pread(self.file.fileno(), self.n[i] * each, self.at[i]) for i in run]
+            sizes = [self.n[i] for i in run]
+            slots = np.frombuffer(b"".join([r[: n * self.slot.itemsize] for r, n in zip(raw, sizes, strict=True)]), self.slot)
+            values = np.frombuffer(b"".join([r[n * self.slot.itemsize :] for r, n in zip(raw, sizes, strict=True)]), np.float32)
+            yield run, np.array(sizes), slots.astype(np.int64), values.astype(np.float64)
+            a = b
+
+    def margins(self, docs: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([_row_sums(values * w[slots], sizes) for _, sizes, slots, values in self.blocks(docs)])
+
+
+_MODEL = "weights binary, slope double, offset double, accuracy double, rows long"
+
+
+def _fit(config: QualityConfig):
+    """The model, from the features of the whole sample; no row if a class is missing."""
+
+    def run(batches):
+        with tempfile.TemporaryFile() as file:
+            found = _Spilled(batches, file, config)
+            good = found.good
+            if len(set(good)) < 2 or len(good) < 20:
+                return
+            held = np.arange(len(good)) % config.held_out == 0
+            fit = np.flatnonzero(~held)
+            w, bias, squares = np.zeros(2 << config.bits), 0.0, np.full(2 << config.bits, 1e-8)
+            for _ in range(config.steps):
+                gradient, errors = np.zeros(len(w)), 0.0
+                for docs, sizes, slots, values in found.blocks(fit):
+                    error = _sigmoid(_row_sums(values * w[slots], sizes) + bias) - good[docs]
+                    gradient += np.bincount(slots, weights=values * np.repeat(error, sizes), minlength=len(w))
+                    errors += error.sum()
+                gradient = gradient / len(fit) + config.penalty * w
+                squares += gradient**2
+                w -= config.rate * gradient / np.sqrt(squares)
+                bias -= 0.5 * errors / len(fit)
+            score = found.margins(np.arange(len(good)), w)
+            out = np.flatnonzero(held)
+            if len(set(good[out])) < 2:
+                out = np.arange(len(good))
+            slope, offset = _calibrate(score[out], good[out])
+            model = Model(w.astype(np.float32), slope, offset, 0.0, len(good))
+            accuracy = float(((model.probability(score[out]) >= config.least_good) == (good[out] > 0)).mean())
+            yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "slope": [slope], "offset": [offset], "accuracy": [accuracy], "rows": [len(good)]})
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig()) -> Model | None:
-    """Fits on at most ``sample_rows`` labelled documents; None if a class is missing."""
+    """Fits on at most ``sample_rows`` labelled documents; None if a class is missing.
+
+    One task fits, with the features (up to 400 KB a document) in a file of its own, a block in memory:
+    the driver gets the model alone, however long the documents are.
+    """
     usable = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("good"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.sample_rows)
     chosen = chosen.withColumnRenamed("doc_id", "labelled")
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))  # at most sample_rows rows
     rows = rows.groupBy("doc_id").agg(F.min(F.col("good").cast("int")).alias("good"), F.min("text").alias("text"))
-    found = rows.mapInArrow(_features(config), "doc_id long, good int, idx binary, val binary").toPandas()
-    found = found.sort_values("doc_id").reset_index(drop=True)
-    if found.good.nunique() < 2 or len(found) < 20:
-        return None
-    idx = [np.frombuffer(x, np.int32) for x in found.idx]
-    val = [np.frombuffer(x, np.float32) for x in found.val]
-    good = found.good.to_numpy(np.float64)
-    held = np.arange(len(found)) % config.held_out == 0
-    fit = np.flatnonzero(~held)
-    flat, weight = np.concatenate([idx[i] for i in fit]), np.concatenate([val[i] for i in fit])
-    row = np.repeat(np.arange(len(fit)), [len(idx[i]) for i in fit])
-    w, bias, y, squares = np.zeros(2 << config.bits), 0.0, good[fit], np.full(2 << config.bits, 1e-8)
-    for _ in range(config.steps):
-        error = _sigmoid(np.bincount(row, weights=weight * w[flat], minlength=len(fit)) + bias) - y
-        gradient = np.bincount(flat, weights=weight * error[row], minlength=len(w)) / len(fit) + config.penalty * w
-        squares += gradient**2
-        w -= config.rate * gradient / np.sqrt(squares)
-        bias -= 0.5 * error.mean()
-    score = np.array([val[i] @ w[idx[i]] for i in range(len(found))])
-    out = np.flatnonzero(held)
-    if len(set(good[out])) < 2:
-        out = np.arange(len(found))
-    slope, offset = _calibrate(score[out], good[out])
-    model = Model(w.astype(np.float32), slope, offset, 0.0, len(found))
-    model.accuracy = float(((model.probability(score[out]) >= config.least_good) == (good[out] > 0)).mean())
-    return model
+    found = rows.mapInArrow(_features(config), _FEATURES).repartition(1).mapInArrow(_fit(config), _MODEL).collect()
+    return Model(np.frombuffer(found[0].weights, np.float32), *found[0][1:]) if found else None
 
 
 _SCORED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, good double"

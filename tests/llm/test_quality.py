@@ -2,6 +2,8 @@
 
 import random
 import re
+import subprocess
+import sys
 
 from llm_cases import empty, prose, rows, table
 from quern.llm.quality import QualityConfig, good_documents, judge, op7_quality, train
@@ -89,6 +91,27 @@ def test_fit_looks_at_whole_texts(spark):
     assert min(good[i] for i in range(1, 60, 2)) > max(good[i] for i in range(0, 60, 2))
 
 
+FEW = """
+import random
+from pyspark.sql import SparkSession
+from quern.llm.quality import judge, train
+spark = SparkSession.builder.master("local[2]").config("spark.driver.maxResultSize", "1m").config("spark.ui.enabled", "false").getOrCreate()
+rng = random.Random(2)
+word = lambda a, b: "".join(chr(rng.randrange(a, b)) for _ in range(6))
+texts = [" ".join(word(*((97, 123) if i % 2 else (0x4E00, 0x9000))) for _ in range(4000)) if i < 40 else "" for i in range(44)]
+docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+model = train(docs, spark.createDataFrame([(i, i % 2) for i in range(44)], "doc_id long, quality int"))
+print(model.rows, model.accuracy > 0.9)
+"""
+
+
+def test_features_of_long_documents_do_not_pass_through_the_driver():
+    """The 40 long texts' features are some MB; the driver takes one."""
+    said = subprocess.run([sys.executable, "-c", FEW], capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr[-2000:]
+    assert said.stdout.split() == ["44", "True"]
+
+
 def test_accuracy_on_test_tables(spark):
     sf = "/root/testdata/sf0.01"
     docs, known = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
