@@ -9,12 +9,13 @@ those of the attempts that counted.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,11 @@ from quern.store import materialize, new_dir, table
 
 #: the white space that bytes.split knows
 _GAP = re.compile(rb"[ \t\n\r\x0b\x0c]")
+#: the settings under which letters and the punctuation after them are split, and ASCII letters change by their case alone
+_PLAIN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_TAIL = b".,;:!?"
+#: letters that stay one letter in lower case (not \u0130)
+_LETTER = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]")
 
 
 @dataclass(frozen=True)
@@ -39,6 +45,7 @@ class TokenConfig:
     cache_words: int = 400_000  # of a generation of the cache; a worker keeps two
     cache_bytes: int = 64 << 20  # of a generation's words and ids
     piece_bytes: int = 1 << 20  # of a text that are split into words at once
+    group_bytes: int = 1 << 17  # of short texts whose words are learned together
     shard_bytes: int = 256 << 20  # of texts in a shard, about
 
 
@@ -56,6 +63,7 @@ class Encoder:
     def __init__(self, config: TokenConfig):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.config, self.tokenizer = config, Tokenizer.from_file(config.tokenizer)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 and config.end_id < 65536 else 4
@@ -77,6 +85,17 @@ class Encoder:
         if suffix and self.mark is not None:
             self.ends = np.zeros(1 << (8 * self.width) if self.width == 2 else max(self.tokenizer.get_vocab().values()) + 1, bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        self.plain = self.by_words and self.ends is not None and self._is_plain(spec)
+        if self.plain:  # the same model for lower-case ASCII letters, which the other steps leave alone
+            self.letters = Tokenizer(self.tokenizer.model)
+            self.letters.pre_tokenizer = WhitespaceSplit()
+
+    @staticmethod
+    def _is_plain(spec: dict) -> bool:
+        norms = [(n["type"], n.get("pattern"), n.get("content")) for n in spec["normalizer"]["normalizers"]]
+        split, *rest = spec["pre_tokenizer"]["pretokenizers"]
+        levels = [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in rest]
+        return norms == [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)] and split["pattern"]["Regex"] == _PLAIN and levels == [("ByteLevel", False, False)]
 
     @staticmethod
     def _splits(spec: dict) -> bool:
@@ -87,25 +106,28 @@ class Encoder:
         plain = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "\\s" not in pattern.replace("[^\\s", "")
         return plain and set(norms) <= {"NFC", "Replace", "Lowercase"} and not any(t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=f"<u{self.width}") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=f"<u{self.width}") for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Each word with its ids; many words go to the tokenizer as one text."""
-        letters, joined, alone = [], [], []
+        lower, letters, joined, alone = [], [], [], []
         for w in words:
-            if self.ends is not None and w.decode().isalpha():
+            if self.plain and w.isalpha() and w.islower():
+                lower.append(w)
+            elif self.ends is not None and w.decode().isalpha():
                 letters.append(w)
             else:
                 (alone if self.mark is None or b"<" in w and any(m in w for m in self.marks) else joined).append(w)
-        for i in range(0, len(letters), 4096):
-            part = letters[i : i + 4096]
-            ids = self._ids([b" ".join(part).decode()])[0]
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part):  # every word has one end at least, so each has just one
-                yield from self._cut(part, ids, [0, *ends[:-1].tolist()], ends.tolist())
-            else:
-                joined += part
+        for same, tokenizer in ((lower, self.letters if self.plain else None), (letters, None)):
+            for i in range(0, len(same), 4096):
+                part = same[i : i + 4096]
+                ids = self._ids([b" ".join(part).decode()], tokenizer)[0]
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(part):  # every word has one end at least, so each has just one
+                    yield from self._cut(part, ids, [0, *ends[:-1].tolist()], ends.tolist())
+                else:
+                    joined += part
         for i in range(0, len(joined), 4096):
             part = joined[i : i + 4096]
             ids = self._ids([self.mark.join(w.decode() for w in part)])[0]
@@ -121,22 +143,40 @@ class Encoder:
         raw, k = ids.tobytes(), self.width
         return zip(words, [raw[a * k : b * k] for a, b in zip(starts, ends, strict=True)], strict=True)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _put(self, found: dict[bytes, bytes]) -> None:
+        self.young.update(found)
+        self.size += sum(map(len, found)) + sum(map(len, found.values()))
+
+    def _missing(self, words: set[bytes]) -> set[bytes]:
+        """Those of ``words`` that neither generation has; the young one has the others afterwards."""
+        missing = words.difference(self.young)
+        old = self.old
+        again = {w: old[w] for w in missing if w in old}
+        self._put(again)
+        missing.difference_update(again)
+        return missing
+
+    def _learn(self, words: Iterable[bytes]) -> None:
         """All of ``words`` are in the young generation afterwards."""
         if len(self.young) > self.config.cache_words or self.size > self.config.cache_bytes:
             self.old, self.young, self.size = self.young, {}, 0
-        young, old, new = self.young, self.old, []
-        for w in dict.fromkeys(words):
-            if w not in young:
-                ids = old.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    young[w] = ids
-                    self.size += len(w) + len(ids)
-        for w, ids in self._encode(new):
-            young[w] = ids
-            self.size += len(w) + len(ids)
+        new = self._missing(set(words))
+        made: list[tuple[bytes, bytes, bytes]] = []  # a word, and its start and end, whose ids one after another are the word's
+        if self.plain:
+            for w in new:
+                core = w.rstrip(_TAIL)
+                if core.isalpha():
+                    core, tail = core.lower(), w[len(core) :]
+                    if tail or core != w:
+                        made.append((w, core, tail))
+                elif core and len(core) < len(w) and (core[-1:].isalpha() or core[-1] > 127 and _LETTER.match(core.decode()[-1])):
+                    made.append((w, core, w[len(core) :]))
+            new.difference_update([x[0] for x in made])
+            new |= self._missing({x for _, *parts in made for x in parts})
+            new.discard(b"")
+        self._put({b"": b""} | dict(self._encode(list(new))))
+        young = self.young
+        self._put({w: young[core] + young[tail] for w, core, tail in made})
 
     def _pieces(self, text: bytes) -> Iterator[bytes]:
         """Parts of a long text, cut at white space."""
@@ -155,13 +195,31 @@ class Encoder:
         out = []
         for piece in self._pieces(text):
             words = piece.split()
-            try:
-                out.append(b"".join([self.young[w] for w in words]))
-            except KeyError:
-                self._learn(words)
-                out.append(b"".join([self.young[w] for w in words]))
+            self._learn(words)
+            out.append(b"".join(map(self.young.__getitem__, words)))
         return b"".join(out) + self.end
 
+    def many(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """Of each text what a call gives; short ones are learned together."""
+        group, size = [], 0
+        for text in texts:
+            if group and size + len(text) > self.config.group_bytes:
+                yield from self._group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        yield from self._group(group)
+
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
+        if len(texts) < 2 or not self.by_words:
+            yield from map(self, texts)
+            return
+        split = [text.split() for text in texts]
+        self._learn(list(itertools.chain.from_iterable(split)))
+        known = self.young.__getitem__
+        for words in split:
+            yield b"".join(map(known, words)) + self.end
+
 
 @functools.lru_cache(maxsize=1)
 def encoder(config: TokenConfig) -> Encoder:
@@ -182,8 +240,10 @@ def _write(config: TokenConfig, folder: str):
                 store.create_dir(root, recursive=True)
                 file = store.open_output_stream(f"{root}/{name}")
                 writer, first = sstable.Writer(file, encode.width), tuple(batch.column(i)[0].as_py() for i in range(3))
-            for doc_id, text in zip(batch.column(0), batch.column(3).cast(pa.binary()), strict=True):
-                writer.add(doc_id.as_py(), encode(text.as_py()))
+            if batch.num_rows:
+                texts = (text.as_py() for text in batch.column(3).cast(pa.binary()))
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encode.many(texts), strict=True):
+                    writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             file.close()

@@ -27,6 +27,21 @@ def test_words_give_the_ids_of_whole_texts():
         assert np.frombuffer(encode(text.encode()), f"<u{encode.width}").tolist() == want, repr(text[:60])
 
 
+def test_parts_of_words_are_encoded_once():
+    """Words that differ in case and in the punctuation after them; odd ones next to them."""
+    config = TokenConfig(group_bytes=2000)
+    encode = Encoder(config)
+    starts = ["lorem", "Lorem", "LOREM", "Don't", "x1", "é", "Straße", "слово", "Ёж", "漢字", "a-b", "a*", "<|endoftext|>", "<|endoftext|>z", "İ", "e\u0301", "\u01c5", ""]
+    texts = [f"{a}{b} {a}" for a in starts for b in ("", ".", ",", "...", "?!", "'s.", ".\u0301", "*.", ";\u0338", ":a")]
+    assert [np.frombuffer(x, f"<u{encode.width}").tolist() for x in encode.many([x.encode() for x in texts])] == whole(texts)
+    sent = []
+    encode = Encoder(config)
+    inner = encode._encode
+    encode._encode = lambda words: inner(sent.extend(words) or words)
+    list(encode.many([x.encode() for x in ("Lorem, ipsum lorem.", "ipsum. LOREM lorem, IPSUM")]))
+    assert sorted(sent) == [b",", b".", b"ipsum", b"lorem"]
+
+
 def want_of(data):
     ids = dict(zip(range(len(data)), whole([r[1] or "" for r in data]), strict=True))
     return [(data[i][0], ids[i]) for i in range(len(data))]
