@@ -11,7 +11,12 @@ from quern.store import new_dir
 
 
 def document_stream(spark: SparkSession, folder: str, schema: str, files: str = "*.parquet", files_per_trigger: int = 100) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """The documents of the files of a folder.  ``files`` may also name a folder in it: one table written in parts."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    parts = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"), files)
+    if parts.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).isDirectory(parts):
+        return stream.parquet(f"{folder.rstrip('/')}/{files}")
+    return stream.option("pathGlobFilter", files).parquet(folder)
 
 
 def stats_stream(documents: DataFrame, family: str = "text", config: ManifestConfig = ManifestConfig()) -> DataFrame:

@@ -31,3 +31,9 @@ def test_embeddings_get_a_cluster_each(spark, sf_dir):
     found = QUERIES["hdbscan_embeddings"](spark, sf_dir).collect()
     assert len(found) == spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
     assert all(r.cluster >= -1 and 0 <= r.prob <= 1 for r in found)
+
+
+def test_stream_reads_a_table_in_parts(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got, want = (QUERIES[name](spark, str(tmp_path)).toPandas() for name in ("text_stats_stream", "text_stats"))
+    assert len(got) and rows(got) == rows(want)
