@@ -97,3 +97,11 @@ def test_embedding_keeps_neighbours():
     assert (own[near] == own[:, None]).mean() > 0.95 and np.isfinite(y).all()
     u = svd(x @ x.T, 20)
     assert np.allclose(u @ u.T, x @ x.T, atol=1e-6)
+
+
+def test_collapse_and_family_on_odd_blanks(spark):
+    blanks = ["a  b", " a\tb ", "a\xa0 b", "a \xa0b", "x   y\n", " ", "a b c", "\x1c\x1da", "　a \n b　"]
+    data = spark.createDataFrame([(t,) for t in texts() + blanks], "t string").select("t", T.collapse(F.col("t")).alias("c"))
+    assert all(r.c == " ".join(r.t.split()) for r in data.collect())
+    once = spark.range(1).select(T.review_family(F.col("id").cast("string"), F.lit("x")).alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert once.count("cast(id") + once.count("toprettystring(id") <= 1  # named once, so cleaned once a document
