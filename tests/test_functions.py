@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quern.functions import text as T
 from quern.functions.accents import plain, strip_accents
 from quern.functions.simhash import simhash64
+from quern.operators.features import standardised
 from quern.operators.hdbscan import hdbscan
 from quern.operators.manifest import text_stats
 from quern.operators.umap import svd, umap
@@ -105,3 +106,9 @@ def test_collapse_and_family_on_odd_blanks(spark):
     assert all(r.c == " ".join(r.t.split()) for r in data.collect())
     once = spark.range(1).select(T.review_family(F.col("id").cast("string"), F.lit("x")).alias("f"))._jdf.queryExecution().optimizedPlan().toString()
     assert once.count("cast(id") + once.count("toprettystring(id") <= 1  # named once, so cleaned once a document
+
+
+def test_standardised_counts_texts_once(spark):
+    docs = text_stats(spark.createDataFrame(list(enumerate(texts(20))), "i long, text string"))
+    plan = standardised(docs, ["i"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower()  # the second reading is of the numbers
